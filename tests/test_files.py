@@ -1,0 +1,27 @@
+from tillstream import schemas
+from tillstream.sources import files
+
+
+def test_csv_columns_by_name_without_inference(spark, tmp_path):
+    path = tmp_path / "items.csv"
+    path.write_text("seller,price,order_id,product_id,freight_value\ns,1.5,o1,p1,x\ns,,o2,p2,2\n")
+    rows = files.read_csv_columns(spark, str(path), schemas.ORDER_ITEMS_CSV).orderBy("order_id").collect()
+    assert [tuple(r) for r in rows] == [("o1", "p1", 1.5, None), ("o2", "p2", None, 2.0)]
+
+
+def test_backfill_shapes_a_log_row(spark, tmp_path):
+    path = tmp_path / "log.csv"
+    path.write_text("timestamp,visitorid,event,itemid,transactionid\n1433221332117,257597,view,355908,\n"
+                    "1433224214000,7,transaction,5,99\n")
+    a, b = files.csv_backfill(files.read_click_log(spark, str(path))).orderBy("original_timestamp").collect()
+    assert (a.event_type, a.user_id, a.item_id, a.transaction_id) == ("view", 257597, 355908, None)
+    assert a.timestamp == "2015-06-02T05:02:12.117000" and a.session_id == "session_257597_2015-06-02"
+    assert b.timestamp == "2015-06-02T05:50:14" and b.transaction_id == "99"
+
+
+def test_fallback_when_a_file_is_missing(spark, tmp_path):
+    there = tmp_path / "a"
+    there.write_text("x")
+    pick = lambda *paths: files.read_with_fallback(
+        spark, [str(p) for p in paths], lambda: spark.range(1), lambda: spark.range(2)).count()
+    assert pick(there) == 1 and pick(there, tmp_path / "b") == 2

@@ -41,40 +41,43 @@ def events_per(log: DataFrame, key: str) -> DataFrame:
     return log.groupBy(key).agg(F.count(F.lit(1)).alias("event_count"))
 
 
-def activity_summary(log: DataFrame, approx: bool = False) -> DataFrame:
+def activity_summary(log: DataFrame) -> DataFrame:
     """Count, mean, deviation, extremes and quartiles of events per user.
 
-    The exact quartiles keep one counter per different event count, which is
-    the small histogram described above; ``approx`` bounds it further.
+    Everything comes from the small histogram; quartiles are exact and
+    interpolated between neighbours.
     """
-    n = F.col("event_count")
-
-    def quartile(p: float) -> Column:
-        return F.percentile_approx(n, p).cast("double") if approx else F.percentile(n, p)
-
-    return events_per(log, "visitorid").agg(
-        F.count(F.lit(1)).alias("users"),
-        F.avg(n).alias("mean"),
-        F.stddev(n).alias("std"),
+    levels = _levels(events_per(log, "visitorid"))
+    n, users = F.col("event_count"), F.col("keys")
+    mean = F.sum(n * users) / F.sum(users)
+    centre = levels.agg(mean).scalar()
+    return levels.agg(
+        F.sum(users).alias("users"),
+        mean.alias("mean"),
+        F.sqrt(F.try_divide(F.sum((n - centre) * (n - centre) * users), F.sum(users) - 1)).alias("std"),
         F.min(n).alias("min"),
-        quartile(0.25).alias("p25"),
-        quartile(0.5).alias("p50"),
-        quartile(0.75).alias("p75"),
+        F.percentile(n, 0.25, users).alias("p25"),
+        F.percentile(n, 0.5, users).alias("p50"),
+        F.percentile(n, 0.75, users).alias("p75"),
         F.max(n).alias("max"),
     )
 
 
+def _levels(counts: DataFrame) -> DataFrame:
+    """event_count -> number of keys with exactly that count."""
+    return counts.groupBy("event_count").agg(F.count(F.lit(1)).alias("keys"))
+
+
 def count_histogram(counts: DataFrame) -> DataFrame:
     """event_count -> keys with that count, with running totals from the most
     active down: ``keys_before`` / ``events_before`` and ``_through``."""
-    histogram = counts.groupBy("event_count").agg(F.count(F.lit(1)).alias("keys"))
     # One task, but over the small histogram only.
     down = Window.orderBy(F.desc("event_count")).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     events = F.col("event_count") * F.col("keys")
     return (
-        histogram.withColumn("keys_through", F.sum("keys").over(down))
+        _levels(counts).withColumn("keys_through", F.sum("keys").over(down))
         .withColumn("events_through", F.sum(events).over(down))
         .withColumn("keys_before", F.col("keys_through") - F.col("keys"))
         .withColumn("events_before", F.col("events_through") - events)
@@ -121,8 +124,7 @@ def cumulative_coverage(log: DataFrame) -> DataFrame:
 def activity_histogram(log: DataFrame, bins: int = 50) -> DataFrame:
     """Users in ``bins`` equal-width bins of event count, empty bins included.
     The last bin is closed; a single value gets a bin range one wide around it."""
-    counts = events_per(log, "visitorid")
-    levels = counts.groupBy("event_count").agg(F.count(F.lit(1)).alias("users"))
+    levels = _levels(events_per(log, "visitorid"))
     low, high = levels.agg(F.min("event_count")).scalar(), levels.agg(F.max("event_count")).scalar()
     half = F.when(F.col("lo") == F.col("hi"), 0.5).otherwise(0.0)
     placed = (
@@ -134,7 +136,7 @@ def activity_histogram(log: DataFrame, bins: int = 50) -> DataFrame:
             F.lit(bins),
         ))
         .groupBy("bin")
-        .agg(F.sum("users").alias("users"))
+        .agg(F.sum("keys").alias("users"))
     )
     every = log.sparkSession.range(1, bins + 1).withColumnRenamed("id", "bin")
     return every.join(placed, "bin", "left").select(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -138,13 +139,23 @@ def latency_quantiles(requests: DataFrame, ts_col: str = "ts", seconds: int = 30
 
 
 def ctr_drift(clicks: DataFrame, threshold: float = CTR_THRESHOLD, ts_col: str = "event_ts",
-              hours: int | None = 1) -> DataFrame:
+              hours: int | None = 1, as_of: datetime | None = None) -> DataFrame:
     """Whether carts per view fell below ``threshold`` over the last ``hours``
-    of the data (``None``: over all of it). Without views nothing is retrained."""
-    recent = clicks
-    if hours is not None:
+    (``None``: over all rows). Without views nothing is retrained.
+
+    The hours end at ``as_of``; a scheduled check passes its own time, and then
+    only the days concerned are read from a table laid out by ``event_date``.
+    Without it they end at the latest row, which takes a scan to find.
+    """
+    recent, at = clicks, F.col(ts_col)
+    if hours is not None and as_of is not None:
+        since = as_of - timedelta(hours=hours)
+        recent = clicks.filter((at > F.lit(since)) & (at <= F.lit(as_of)))
+        if "event_date" in clicks.columns:
+            recent = recent.filter(F.col("event_date").between(since.date(), as_of.date()))
+    elif hours is not None:
         end = clicks.agg(F.max(ts_col)).scalar()
-        recent = clicks.filter(F.col(ts_col) > end - F.expr(f"interval {hours} hours"))
+        recent = clicks.filter(at > end - F.expr(f"interval {hours} hours"))
     ctr = F.when(F.col("impressions") > 0, F.col("clicks") / F.col("impressions"))
     return live_ctr(recent).select(
         "impressions", "clicks", ctr.alias("ctr"),

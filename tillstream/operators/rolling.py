@@ -64,8 +64,9 @@ def _from_panes(events: DataFrame, ts_col: str, panes: int, slide_minutes: int)
     window, so distinct users become a plain sum that combines on the map side
     and no set or second distinct shuffle is needed.
     """
-    slide_us = slide_minutes * 60_000_000
-    pane = F.floor(F.unix_micros(F.col(ts_col).cast("timestamp")) / F.lit(slide_us))
+    slide = slide_minutes * 60_000_000  # all times below are epoch microseconds
+    at = F.unix_micros(F.col(ts_col).cast("timestamp"))
+    pane = at - F.pmod(at, F.lit(slide))
     cells = (
         events.filter(F.col(ts_col).isNotNull())
         .groupBy("item_id", "user_id", pane.alias("pane"))
@@ -81,7 +82,8 @@ def _from_panes(events: DataFrame, ts_col: str, panes: int, slide_minutes: int)
     is_new = F.col("user_id").isNotNull() & (F.col("previous").isNull() | (start > F.col("previous")))
     windows = (
         cells.withColumn("previous", F.lag("pane").over(same))
-        .withColumn("start", F.explode(F.sequence(F.col("pane") - (panes - 1), F.col("pane"))))
+        .withColumn("start", F.explode(F.sequence(
+            F.col("pane") - (panes - 1) * slide, F.col("pane"), F.lit(slide).cast("bigint"))))
         .groupBy("item_id", "start")
         .agg(
             F.sum("n").alias("total_events_1h"),
@@ -91,6 +93,6 @@ def _from_panes(events: DataFrame, ts_col: str, panes: int, slide_minutes: int)
             F.count_if(is_new).alias("unique_users_1h"),
         )
     )
-    return windows.withColumn("window_start", F.timestamp_micros(start * slide_us)).withColumn(
-        "window_end", F.timestamp_micros((start + panes) * slide_us)
+    return windows.withColumn("window_start", F.timestamp_micros(start)).withColumn(
+        "window_end", F.timestamp_micros(start + panes * slide)
     )

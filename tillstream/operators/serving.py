@@ -75,12 +75,17 @@ def fallback_recs(users: DataFrame, n: int = 10, excluded: DataFrame | None = No
     """Formula list of n items for each user without trained recommendations.
 
     An excluded item leaves a gap and the list gets shorter. ``refill`` walks
-    on until n items are found; the formula repeats after FALLBACK_ITEMS steps.
+    on by as many steps as the user has excluded items, which is enough for n;
+    the formula repeats after FALLBACK_ITEMS steps.
     """
-    steps = FALLBACK_ITEMS if refill and excluded is not None else n
+    steps = F.lit(n)
+    if refill and excluded is not None:
+        gaps = excluded.groupBy("user_id").agg(F.countDistinct("item_id").alias("_gaps"))
+        users = users.join(gaps, "user_id", "left")
+        steps = F.least(F.lit(n) + F.coalesce("_gaps", F.lit(0)), F.lit(FALLBACK_ITEMS))
     i = F.col("position")
     recs = users.select(
-        "user_id", F.explode(F.sequence(F.lit(0), F.lit(steps - 1))).alias("position")
+        "user_id", F.explode(F.sequence(F.lit(0), (steps - 1).cast("int"))).alias("position")
     ).select(
         "user_id", "position",
         (F.pmod(F.col("user_id") * 7 + i * 13, F.lit(FALLBACK_ITEMS)) + 1).alias("item_id"),

@@ -40,50 +40,40 @@ def reject_reason(required: Sequence[str], types: Sequence[str] | None) -> Colum
     return first_of(steps)
 
 
-def checked(bronze: DataFrame, topic: str, accept: Sequence[str] | None = None) -> DataFrame:
-    """All rows of a topic, parsed once, with ``reject_reason`` and the day.
+def accepted(bronze: DataFrame, topic: str, accept: Sequence[str] | None = None) -> DataFrame:
+    """Silver rows: payload, envelope times, typed event time, stamp and day.
 
-    Silver and quarantine are the two sides of this frame. ``accept`` sets an
-    allow-list of event types where the topic has none (user events).
+    ``accept`` sets an allow-list of event types where the topic has none
+    (user events). A row with an unreadable time stays, without a day.
     """
     schema, required, types = RULES[topic]
-    parsed = parse_payload(
-        bronze, schema, keep=("raw_value", "kafka_timestamp", "ingestion_timestamp")
-    )
-    return (
-        parsed.withColumn("event_ts", event_time("timestamp"))
-        .withColumn("event_date", F.to_date("event_ts"))
-        .withColumn("reject_reason", reject_reason(required, accept or types))
-    )
-
-
-def accepted(rows: DataFrame) -> DataFrame:
-    """Silver rows: payload, envelope times, typed event time, stamp and day."""
     return (
-        rows.filter(F.col("reject_reason").isNull())
-        .drop("reject_reason", "raw_value", "event_date")
+        parse_payload(bronze, schema, keep=("kafka_timestamp", "ingestion_timestamp"))
+        .filter(reject_reason(required, accept or types).isNull())
+        .withColumn("event_ts", event_time("timestamp"))
         .withColumn("processed_at", F.current_timestamp())
         .withColumn("event_date", F.to_date("event_ts"))
     )
 
 
-def rejected(rows: DataFrame) -> DataFrame:
-    return rows.filter(F.col("reject_reason").isNotNull()).select(
-        "reject_reason", "raw_value", "kafka_timestamp", "ingestion_timestamp"
-    )
-
-
 def silver_clickstream(bronze: DataFrame) -> DataFrame:
-    return accepted(checked(bronze, "clickstream"))
+    return accepted(bronze, "clickstream")
 
 
 def silver_inventory(bronze: DataFrame) -> DataFrame:
-    return accepted(checked(bronze, "inventory"))
+    return accepted(bronze, "inventory")
 
 
 def silver_user_events(bronze: DataFrame, accept: Sequence[str] | None = None) -> DataFrame:
-    return accepted(checked(bronze, "user_events", accept))
+    return accepted(bronze, "user_events", accept)
 
 
-def quarantine(bronze: DataFrame, topic: str) -> DataFrame:
-    return rejected(checked(bronze, topic))
+def quarantine(bronze: DataFrame, topic: str, accept: Sequence[str] | None = None) -> DataFrame:
+    """Refused rows with a reason. Only the fields the rules name are parsed."""
+    schema, required, types = RULES[topic]
+    needed = ", ".join(f for f in schema.split(", ") if f.split()[0] in required)
+    parsed = parse_payload(bronze, needed, keep=("raw_value", "kafka_timestamp", "ingestion_timestamp"))
+    reason = reject_reason(required, accept or types)
+    return parsed.withColumn("reject_reason", reason).filter(
+        F.col("reject_reason").isNotNull()
+    ).select("reject_reason", "raw_value", "kafka_timestamp", "ingestion_timestamp")
