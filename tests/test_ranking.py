@@ -1,0 +1,104 @@
+import math
+
+import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
+
+from tillstream.operators import ranking
+
+SCHEMA = "user_id bigint, item_id bigint, rating double, prediction double"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def brute(rows, k, order):
+    users = {}
+    for r in rows:
+        users.setdefault(r[0], []).append(r)
+    return {u: sorted(rs, key=lambda r: (-r[order], r[1]))[:k] for u, rs in users.items()}
+
+
+def dcg(rs):
+    return sum(r[2] / math.log2(i + 2) for i, r in enumerate(rs))
+
+
+def brute_ndcg(rows, k):
+    best, got = brute(rows, k, 2), brute(rows, k, 3)
+    scores = [dcg(got[u]) / dcg(best[u]) if dcg(best[u]) > 0 else 0.0 for u in best]
+    return sum(scores) / len(scores)
+
+
+def brute_map(rows, k, by_relevant=False):
+    scores = []
+    for rs in brute(rows, k, 3).values():
+        hits, total = 0, 0.0
+        for i, r in enumerate(rs, 1):
+            if r[2] >= 3:
+                hits += 1
+                total += hits / i
+        n = hits if by_relevant else len(rs)
+        scores.append(total / n if n else 0.0)
+    return sum(scores) / len(scores)
+
+
+row = st.tuples(st.integers(1, 4), st.sampled_from([0.0, 1.0, 3.0, 5.0]), st.sampled_from([0.1, 0.5, 0.9]))
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(row, min_size=1, max_size=40), st.integers(1, 12))
+def test_against_brute_force(spark, drawn, k):
+    rows = [(u, i, r, p) for i, (u, r, p) in enumerate(drawn)]
+    df = frame(spark, rows).repartition(3)
+    ndcg = ranking.ndcg_at_k(df, k).first()[0]
+    assert 0.0 <= ndcg <= 1.0 + 1e-12
+    assert ndcg == pytest.approx(brute_ndcg(rows, k))
+    assert ranking.map_at_k(df, k).first()[0] == pytest.approx(brute_map(rows, k))
+    assert ranking.map_at_k(df, k, "relevant").first()[0] == pytest.approx(brute_map(rows, k, True))
+
+
+def test_perfect_order_is_one_and_no_gain_is_zero(spark):
+    perfect = [(1, i, 5.0 - i, 5.0 - i) for i in range(5)]
+    assert ranking.ndcg_at_k(frame(spark, perfect)).first()[0] == pytest.approx(1.0)
+    worthless = [(1, i, 0.0, 0.5) for i in range(3)]
+    assert ranking.ndcg_at_k(frame(spark, worthless)).first()[0] == 0.0
+
+
+def test_empty_predictions_score_zero(spark):
+    assert ranking.ndcg_at_k(frame(spark, [])).first()[0] == 0.0
+    assert ranking.map_at_k(frame(spark, [])).first()[0] == 0.0
+
+
+def test_ties_go_to_the_lower_item(spark):
+    rows = [(1, 7, 1.0, 0.5), (1, 3, 5.0, 0.5)]
+    assert ranking.top_k_per_user(frame(spark, rows), 1).first().item_id == 3
+
+
+@pytest.mark.parametrize("metric", [ranking.ndcg_at_k, ranking.map_at_k])
+def test_a_hot_user_is_cut_before_the_shuffle(spark, metric):
+    plan = metric(frame(spark, [(1, 1, 1.0, 0.1)]))._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_regression_metrics(spark):
+    df = frame(spark, [(1, 1, 1.0, 1.5), (1, 2, 3.0, 2.0), (1, 3, 5.0, 5.0)])
+    found = ranking.regression_metrics(df).first()
+    assert found.rmse == pytest.approx(math.sqrt(1.25 / 3)) and found.mae == pytest.approx(0.5)
+    assert found.r2 == pytest.approx(1 - 1.25 / 8)
+
+
+def test_constant_target_has_no_r2_and_zero_prices_no_percentage(spark):
+    flat = frame(spark, [(1, 1, 2.0, 1.0), (1, 2, 2.0, 3.0)])
+    assert ranking.regression_metrics(flat).first().r2 is None
+    priced = spark.createDataFrame([(0.0, 1.0), (10.0, 12.0)], "target_price double, prediction double")
+    impact = ranking.revenue_impact(priced).first()
+    assert impact.avg_revenue_change_pct == pytest.approx(20.0) and impact.avg_price_diff == pytest.approx(1.5)
+
+
+def test_split_is_stable_and_near_four_fifths(spark):
+    df = spark.range(5000).selectExpr("id as user_id", "id % 97 as item_id", "1.0D as rating")
+    a = ranking.with_split(df, "user_id", "item_id").filter("is_train").select("user_id").collect()
+    b = ranking.with_split(df.repartition(5), "user_id", "item_id").filter("is_train").select("user_id").collect()
+    assert sorted(a) == sorted(b) and 0.75 < len(a) / 5000 < 0.85
+    whole = ranking.with_row_split(df).filter("is_train").count()
+    assert 0.75 < whole / 5000 < 0.85

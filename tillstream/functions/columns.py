@@ -58,8 +58,24 @@ def epoch_day(ms: Column | str) -> Column:
 
 
 def cents(amount: Column | str) -> Column:
-    """Round to two places, halves to even, on the binary value."""
-    return F.rint(_col(amount) * 100) / 100
+    """Round to two places by the exact binary value, halves to even.
+
+    2.675 is stored a little below the half and becomes 2.67. Where the product
+    with 100 lands on a half, the exact remainder of that product (from the two
+    halves of the number, whose products are exact) tells the side.
+    """
+    x = _col(amount)
+    scaled = x * 100
+    split = x * F.lit(134217729.0)  # 2^27 + 1
+    high = split - (split - x)
+    remainder = (high * 100 - scaled) + (x - high) * 100
+    on_half = scaled - F.floor(scaled) == 0.5
+    nearest = (
+        F.when(on_half & (remainder > 0), F.ceil(scaled))
+        .when(on_half & (remainder < 0), F.floor(scaled))
+        .otherwise(F.rint(scaled))
+    )
+    return nearest.cast("double") / 100
 
 
 def split_bucket(*keys: Column | str) -> Column:

@@ -419,7 +419,7 @@ def price_request_defaults(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("rule_price", """
-    SELECT item_id, round_even(base * factor * 100, 0) / 100 AS optimal_price,
+    SELECT item_id, CAST(format('{:.2f}', base * factor) AS DOUBLE) AS optimal_price,
            CASE WHEN view_count_1h = 0 THEN 0.5::DOUBLE ELSE 0.85::DOUBLE END AS price_confidence,
            CASE WHEN demand_score > 2 THEN 'high_demand' WHEN demand_score > 1 THEN 'moderate_demand'
              ELSE 'low_demand' END AS demand_forecast
@@ -436,7 +436,7 @@ def rule_price(spark: SparkSession, sf: str) -> DataFrame:
 
 _FALLBACK = """
     SELECT user_id, position, (user_id * 7 + position * 13) % 2000 + 1 AS item_id,
-           round_even((5.0::DOUBLE - position * 0.3::DOUBLE) * 100, 0) / 100 AS score
+           CAST(format('{:.2f}', 5.0::DOUBLE - position * 0.3::DOUBLE) AS DOUBLE) AS score
     FROM (SELECT DISTINCT user_id FROM clicks), (SELECT CAST(unnest(range(10)) AS INTEGER) AS position)"""
 
 
