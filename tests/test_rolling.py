@@ -7,7 +7,8 @@ import pytest
 
 from tillstream import schemas
 from tillstream.operators.monitoring import live_ctr, price_adjustments, topic_throughput
-from tillstream.operators.rolling import _windowed, rolling_item_ctr
+from tillstream.functions import count_of
+from tillstream.operators.rolling import rolling_item_ctr
 from tillstream.sources.tables import read_table, table_exists
 from tillstream.sources.topics import file_topic
 from tillstream.streaming import bronze as br, live, rolling as rs
@@ -45,14 +46,25 @@ def test_distinct_users_over_panes(spark):
     assert found[1, at(50)].unique_users_1h == 1
 
 
+def copied(clicks, window=60, slide=10):
+    """The plain form: every event in each of its windows, distinct users counted."""
+    from pyspark.sql import functions as F
+
+    span = F.window("event_ts", f"{window} minutes", f"{slide} minutes")
+    return clicks.groupBy(span, "item_id").agg(
+        F.count(F.lit(1)).alias("total_events_1h"), count_of("view").alias("views_1h"),
+        count_of("addtocart").alias("carts_1h"), count_of("transaction").alias("purchases_1h"),
+        F.countDistinct("user_id").alias("unique_users_1h"),
+    ).selectExpr("*", "window.start as window_start", "window.end as window_end").drop("window")
+
+
 @pytest.mark.parametrize("window,slide", [(60, 10), (30, 30), (20, 5)])
 def test_panes_equal_window_copies(spark, sf, window, slide):
     from tillstream.plans import fixtures as fx
 
     clicks = fx.clicks(spark, sf)
     panes = rolling_item_ctr(clicks, window_minutes=window, slide_minutes=slide)
-    assert rows(panes, "ctr_1h", "conversion_1h") == rows(
-        _windowed(clicks, "event_ts", window, slide, True), "window")
+    assert rows(panes, "ctr_1h", "conversion_1h") == rows(copied(clicks, window, slide))
 
 
 def test_window_must_fit_the_slide(spark):
@@ -62,8 +74,7 @@ def test_window_must_fit_the_slide(spark):
 
 def test_times_before_the_epoch(spark):
     clicks = spark.createDataFrame([("view", 1, 1, dt.datetime(1969, 12, 31, 23, 55))], CLICKS)
-    assert rows(rolling_item_ctr(clicks), "ctr_1h", "conversion_1h") == rows(
-        _windowed(clicks, "event_ts", 60, 10, True), "window")
+    assert rows(rolling_item_ctr(clicks), "ctr_1h", "conversion_1h") == rows(copied(clicks))
 
 
 def record(kind, user, item, when):
@@ -75,7 +86,7 @@ def drop_file(spark, folder, records):
     spark.createDataFrame(records, schemas.TOPIC_RECORD).coalesce(1).write.mode("append").parquet(folder)
 
 
-def run(spark, folder, path, checkpoint, mode="update", files=1, exact=True):
+def run(spark, folder, path, checkpoint, mode="update", files=1, exact=False):
     records = file_topic(spark, folder, max_files=files)
     rs.start_rolling(rs.click_records(records), path, checkpoint, mode=mode, every=None,
                      exact=exact).awaitTermination()
@@ -124,16 +135,31 @@ def test_late_rows_inside_the_watermark_count_and_older_ones_do_not(spark, tmp_p
     assert found[at(0)].total_events_1h == 1  # the row of minute 5 came after the window was closed
 
 
-def test_append_mode_emits_closed_windows_once(spark, tmp_path):
+@pytest.mark.parametrize("exact", [True, False])
+def test_append_mode_emits_closed_windows_once(spark, tmp_path, exact):
     folder, path, checkpoint = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
     events = [record("view", u, 1, at(m)) for u, m in ((1, 0), (2, 5), (1, 100), (1, 400))]
     for e in events:
         drop_file(spark, folder, [e])
-        run(spark, folder, path, checkpoint, mode="append")
+        run(spark, folder, path, checkpoint, mode="append", exact=exact)
     closed = batch_twin(spark, events).filter(f"window_end <= timestamp'{at(390)}'")
     assert rows(read_table(spark, path), "updated_at", "window_date") == rows(closed)
 
 
+def test_exact_users_in_many_files(spark, tmp_path):
+    folder, path = str(tmp_path / "in"), str(tmp_path / "out")
+    for i in range(0, len(EVENTS), 5):
+        drop_file(spark, folder, EVENTS[i:i + 5])
+    drop_file(spark, folder, [record("view", 1, 9, at(400))])
+    run(spark, folder, path, str(tmp_path / "ckpt"), mode="append", exact=True)
+    assert rows(read_table(spark, path), "updated_at", "window_date") == rows(batch_twin(spark, EVENTS))
+
+
+def test_exact_users_need_append_mode(spark, tmp_path):
+    with pytest.raises(ValueError):
+        rs.start_rolling(spark.readStream.format("rate").load(), "x", "y", mode="update", exact=True)
+
+
 def test_sketched_users_are_close(spark, tmp_path):
     folder, path = str(tmp_path / "in"), str(tmp_path / "out")
     drop_file(spark, folder, [record("view", u % 40, 1, at(u % 10)) for u in range(200)])

@@ -7,7 +7,7 @@ with bounded state while a batch can avoid most of the window copies.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import count_of, safe_ratio
 
@@ -19,13 +19,16 @@ def rolling_item_ctr(events: DataFrame, ts_col: str = "event_ts", window_minutes
     """Windows are aligned to the epoch and hold [start, end). An item has a row
     for every window with at least one of its events. "ctr" is carts per view.
 
-    ``exact=False`` estimates the distinct users with fixed-size sketches; in a
-    stream it keeps the state of a window small whatever the item's popularity.
+    ``exact=False`` estimates the distinct users with fixed-size sketches. An
+    exact *stream* chains two aggregates and so emits in append mode only.
     """
     if window_minutes % slide_minutes:
         raise ValueError("the window must be a multiple of the slide")
-    if events.isStreaming or not exact:
-        counted = _windowed(events, ts_col, window_minutes, slide_minutes, exact)
+    span = F.window(ts_col, f"{window_minutes} minutes", f"{slide_minutes} minutes")
+    if not exact:
+        counted = _sketched(events, span)
+    elif events.isStreaming:
+        counted = _from_user_cells(events, span)
     else:
         counted = _from_panes(events, ts_col, window_minutes // slide_minutes, slide_minutes)
     return counted.select(
@@ -35,26 +38,36 @@ def rolling_item_ctr(events: DataFrame, ts_col: str = "event_ts", window_minutes
     )
 
 
-def _windowed(events: DataFrame, ts_col: str, window_minutes: int, slide_minutes: int,
-              exact: bool) -> DataFrame:
-    """Every event is copied into each window that covers it, then counted.
-    A distinct count is not allowed in a stream; the exact form keeps the set."""
-    users = F.size(F.collect_set("user_id")) if exact else F.approx_count_distinct("user_id")
-    span = F.window(ts_col, f"{window_minutes} minutes", f"{slide_minutes} minutes")
-    return (
-        events.groupBy(span, "item_id")
-        .agg(
-            F.count(F.lit(1)).alias("total_events_1h"),
-            count_of("view").alias("views_1h"),
-            count_of("addtocart").alias("carts_1h"),
-            count_of("transaction").alias("purchases_1h"),
-            users.cast("bigint").alias("unique_users_1h"),
-        )
-        .withColumn("window_start", F.col("window.start"))
-        .withColumn("window_end", F.col("window.end"))
+def _counts() -> list[Column]:
+    kinds = (F.count(F.lit(1)), count_of("view"), count_of("addtocart"), count_of("transaction"))
+    return [kind.alias(name) for kind, name in zip(kinds, COUNTS)]
+
+
+def _flat(windows: DataFrame) -> DataFrame:
+    return windows.withColumns(
+        {"window_start": F.col("window.start"), "window_end": F.col("window.end")}
     )
 
 
+def _sketched(events: DataFrame, span: Column) -> DataFrame:
+    """Every event is copied into each window that covers it, then counted. One
+    state row per window and item, of fixed size whatever the item's traffic."""
+    users = F.approx_count_distinct("user_id").alias("unique_users_1h")
+    return _flat(events.groupBy(span, "item_id").agg(*_counts(), users))
+
+
+def _from_user_cells(events: DataFrame, span: Column) -> DataFrame:
+    """Spark allows no distinct count in a stream. Counting per window, item and
+    user first and then per window and item gives the same number, and the
+    users of a popular item are spread over all tasks instead of one set."""
+    cells = events.groupBy(span, "item_id", "user_id").agg(*_counts())
+    windows = cells.groupBy("window", "item_id").agg(
+        *[F.sum(name).alias(name) for name in COUNTS],
+        F.count("user_id").alias("unique_users_1h"),
+    )
+    return _flat(windows)
+
+
 def _from_panes(events: DataFrame, ts_col: str, panes: int, slide_minutes: int) -> DataFrame:
     """Counts per slide-wide pane and user first, then windows from panes.
 
@@ -70,12 +83,7 @@ def _from_panes(events: DataFrame, ts_col: str, panes: int, slide_minutes: int)
     cells = (
         events.filter(F.col(ts_col).isNotNull())
         .groupBy("item_id", "user_id", pane.alias("pane"))
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            count_of("view").alias("v"),
-            count_of("addtocart").alias("c"),
-            count_of("transaction").alias("p"),
-        )
+        .agg(*_counts())
     )
     same = Window.partitionBy("item_id", "user_id").orderBy("pane")
     start = F.col("start")
@@ -86,10 +94,7 @@ def _from_panes(events: DataFrame, ts_col: str, panes: int, slide_minutes: int)
             F.col("pane") - (panes - 1) * slide, F.col("pane"), F.lit(slide).cast("bigint"))))
         .groupBy("item_id", "start")
         .agg(
-            F.sum("n").alias("total_events_1h"),
-            F.sum("v").alias("views_1h"),
-            F.sum("c").alias("carts_1h"),
-            F.sum("p").alias("purchases_1h"),
+            *[F.sum(name).alias(name) for name in COUNTS],
             F.count_if(is_new).alias("unique_users_1h"),
         )
     )

@@ -265,15 +265,30 @@ def _click_stream(spark: SparkSession, sf: str) -> DataFrame:
     return rows.filter(F.col("event_type").isin("view", "addtocart", "transaction"))
 
 
-@query("rolling_item_ctr_stream", "SELECT * FROM rolling")
-def rolling_item_ctr_stream(spark: SparkSession, sf: str) -> DataFrame:
+def _rolling_stream(spark: SparkSession, sf: str, mode: str, exact: bool) -> DataFrame:
     path = scratch(spark, "rolling")
     start_rolling(
-        _click_stream(spark, sf), path, scratch(spark, "ckpt"), every=None, exact=True
+        _click_stream(spark, sf), path, scratch(spark, "ckpt"), mode, every=None, exact=exact
     ).awaitTermination()
     return plain_times(read_table(spark, path).drop("window_date", "updated_at"))
 
 
+@query("rolling_item_ctr_stream", """
+    SELECT item_id, window_start, window_end, total_events_1h, views_1h, carts_1h, purchases_1h,
+           ctr_1h, conversion_1h FROM rolling""")
+def rolling_item_ctr_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """All windows, open ones included; the estimated users are left out."""
+    return _rolling_stream(spark, sf, "update", exact=False).drop("unique_users_1h")
+
+
+@query("rolling_item_ctr_closed", """
+    SELECT * FROM rolling WHERE window_end <=
+      (SELECT date_trunc('millisecond', max(event_ts)) - INTERVAL 10 MINUTE FROM clicks)""")
+def rolling_item_ctr_closed(spark: SparkSession, sf: str) -> DataFrame:
+    """Windows the watermark has closed, with exact users."""
+    return _rolling_stream(spark, sf, "append", exact=True)
+
+
 def _closed(metric: DataFrame) -> DataFrame:
     """Closed windows of a metric stream, as its sink holds them."""
     spark = metric.sparkSession

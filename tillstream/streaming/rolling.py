@@ -46,7 +46,10 @@ def start_rolling(clicks: DataFrame, path: str, checkpoint: str, mode: str = "up
                   every: int | None = 600, ts_col: str = "kafka_ts",
                   exact: bool = False) -> StreamingQuery:
     """``update`` refreshes open windows at every trigger; ``append`` emits a
-    window once, after the watermark has passed its end."""
+    window once, after the watermark has passed its end. Exact distinct users
+    need ``append``."""
+    if exact and mode != "append":
+        raise ValueError("exact distinct users need append mode")
     return (
         rolling_stream(clicks, ts_col, exact=exact)
         .writeStream.foreachBatch(merge_batch(path))
