@@ -173,7 +173,7 @@ def test_bronze_streams_append_each_record_once(spark, tmp_path):
     for topic in ("clickstream", "inventory"):
         drop_file(spark, str(base / "in" / topic), EVENTS[:5])
         sources[topic] = file_topic(spark, str(base / "in" / topic))
-    queries = br.bronze_streams(sources, str(base / "bronze"), str(base / "ckpt"), every=None)
+    queries = br.bronze_streams(sources, str(base / "bronze"), str(base / "ckpt"), every=None, files=1)
     br.await_all(spark, queries)
     drop_file(spark, str(base / "in" / "clickstream"), EVENTS[5:7])
     queries = br.bronze_streams(sources, str(base / "bronze"), str(base / "ckpt"), every=None)

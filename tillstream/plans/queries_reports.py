@@ -457,6 +457,20 @@ def exclude_items(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("precomputed_recs", f"""
+    SELECT r.* FROM ({_FALLBACK}) r
+    WHERE position < 5
+      AND NOT EXISTS (SELECT 1 FROM interactions i WHERE i.user_id = r.user_id AND i.item_id = r.item_id)""")
+def precomputed_recs(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored lists of ten cut to five places, met items left out."""
+    clicks = fx.clicks(spark, sf)
+    path = scratch(spark, "stored-recs")
+    serving.fallback_recs(clicks.select("user_id").distinct()).write.parquet(path)
+    return serving.precomputed_recs(
+        spark.read.parquet(path), 5, clicks.select("user_id", "item_id").distinct()
+    )
+
+
 # --- models (no SQL twin: iterative fits) -----------------------------------------------------------
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -47,6 +49,7 @@ def build(
 
 
 _unset: dict[str, str] = {}  # stand-ins for settings the session does not carry
+_made: list[str] = []  # scratch paths handed out by this process
 
 
 def scratch(spark: SparkSession, label: str) -> str:
@@ -59,11 +62,28 @@ def scratch(spark: SparkSession, label: str) -> str:
     if not base:
         base = _unset.setdefault("scratch", "") or tempfile.mkdtemp(prefix="tillstream-")
         _unset["scratch"] = base
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+    _made.append(f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}")
+    return _made[-1]
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete on leaving what was put under scratch paths made inside. For jobs
+    whose results lie elsewhere; frames that still read scratch must not escape."""
+    before = len(_made)
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        for path in _made[before:]:
+            target = hadoop.Path(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        del _made[before:]
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Iterative ML cuts its lineage only when a checkpoint folder is set."""
     if not spark.conf.get("spark.checkpoint.dir", None) and "checkpoints" not in _unset:
         _unset["checkpoints"] = scratch(spark, "rdd-checkpoints")
+        _made.remove(_unset["checkpoints"])  # outlives any scope
         spark.sparkContext.setCheckpointDir(_unset["checkpoints"])

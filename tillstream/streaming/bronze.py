@@ -27,12 +27,14 @@ def trigger(seconds: int | None) -> dict:
 
 
 def start_append(df: DataFrame, path: str, checkpoint: str, every: int | None = 10,
-                 name: str | None = None, fmt: str = "parquet") -> StreamingQuery:
+                 name: str | None = None, fmt: str = "parquet",
+                 files: int | None = None) -> StreamingQuery:
     """Append a stream to a table. The sink's own log makes each micro-batch
     appear once, also after a restart from the checkpoint. A table format that
-    can widen its schema is told to; parquet ignores the option."""
+    can widen its schema is told to; parquet ignores the option. ``files`` bounds
+    the files of one trigger, so a frequent trigger does not litter the table."""
     writer = (
-        df.writeStream.format(fmt).outputMode("append")
+        (df.coalesce(files) if files else df).writeStream.format(fmt).outputMode("append")
         .option("checkpointLocation", checkpoint)
         .option("mergeSchema", "true")
         .option("path", path)
@@ -42,15 +44,16 @@ def start_append(df: DataFrame, path: str, checkpoint: str, every: int | None =
 
 
 def bronze_stream(records: DataFrame, topic: str, path: str, checkpoint: str,
-                  every: int | None = 10) -> StreamingQuery:
-    return start_append(bronze_envelope(records, topic), path, checkpoint, every)
+                  every: int | None = 10, files: int | None = None) -> StreamingQuery:
+    return start_append(bronze_envelope(records, topic), path, checkpoint, every, files=files)
 
 
 def bronze_streams(sources: Mapping[str, DataFrame], bronze_dir: str, checkpoint_dir: str,
-                   every: int | None = 10) -> list[StreamingQuery]:
+                   every: int | None = 10, files: int | None = None) -> list[StreamingQuery]:
     """One query per topic, each with its own table and checkpoint."""
     return [
-        bronze_stream(records, topic, f"{bronze_dir}/{topic}", f"{checkpoint_dir}/bronze/{topic}", every)
+        bronze_stream(records, topic, f"{bronze_dir}/{topic}", f"{checkpoint_dir}/bronze/{topic}",
+                      every, files)
         for topic, records in sources.items()
     ]
 
