@@ -10,8 +10,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import iso_text
 from ..streaming.bronze import bronze_envelope
 
-_KINDS = {"click": "addtocart", "purchase": "transaction"}
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

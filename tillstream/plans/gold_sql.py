@@ -30,7 +30,8 @@ def gold_session(spark: SparkSession,
     """A sibling session whose only views are those ``tables(session)`` returns.
     It shares the cluster and caches; files cannot be queried by path in it."""
     session = spark.newSession()
-    session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    for setting in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions", "spark.sql.ansi.enabled"):
+        session.conf.set(setting, spark.conf.get(setting))
     session.conf.set("spark.sql.runSQLOnFiles", "false")
     for name, df in tables(session).items():
         df.createOrReplaceTempView(name)
@@ -52,7 +53,8 @@ def check_read_only(session: SparkSession, sql: str) -> tuple[bool, str]:
     for table in session.catalog.listTables():
         if not table.isTemporary and re.search(rf"\b{re.escape(table.name)}\b", text, re.IGNORECASE):
             return False, f"unknown table: {table.name}"
-    for place in [session.catalog.currentCatalog()] + [d.name for d in session.catalog.listDatabases()]:
+    places = [session.catalog.currentCatalog(), "global_temp"]
+    for place in places + [d.name for d in session.catalog.listDatabases()]:
         if re.search(rf"(\b|`){re.escape(place)}`?\s*\.", text, re.IGNORECASE):
             return False, f"only Gold tables are accessible, not {place}"
     try:

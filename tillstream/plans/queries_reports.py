@@ -9,6 +9,7 @@ from ..operators import explore, monitoring, pricing, ranking, runs, serving, su
 from ..session import scratch
 from ..sources.files import read_click_log, write_csv
 from . import fixtures as fx
+from .nightly import pricing_data
 from .queries_tables import interactions, products
 from .registry import plain_times, query, rounded
 
@@ -39,8 +40,8 @@ def user_event_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("activity_summary", """
-    SELECT count(*) AS users, round(avg(event_count), 6) AS mean,
-           round(stddev_samp(event_count), 6) AS std, min(event_count) AS min,
+    SELECT count(*) AS users, round(1e-9 + avg(event_count), 6) AS mean,
+           round(1e-9 + stddev_samp(event_count), 6) AS std, min(event_count) AS min,
            quantile_cont(event_count, 0.25) AS p25, quantile_cont(event_count, 0.5) AS p50,
            quantile_cont(event_count, 0.75) AS p75, max(event_count) AS max FROM user_counts""")
 def activity_summary(spark: SparkSession, sf: str) -> DataFrame:
@@ -107,8 +108,8 @@ def daily_volume(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("daily_summary", """
     SELECT min(day) AS first_day, max(day) AS last_day, count(*) AS days,
-           round(avg(events), 6) AS avg_events, max(events) AS peak_events,
-           round(avg(events) / 120, 6) AS avg_rate, round(max(events) / 120, 6) AS peak_rate FROM daily""")
+           round(1e-9 + avg(events), 6) AS avg_events, max(events) AS peak_events,
+           round(1e-9 + avg(events) / 120, 6) AS avg_rate, round(1e-9 + max(events) / 120, 6) AS peak_rate FROM daily""")
 def daily_summary(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(explore.daily_summary(fx.click_log(spark, sf)), "avg_events", "avg_rate", "peak_rate")
 
@@ -205,8 +206,8 @@ def price_adjustments(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("price_change_level", """
-    SELECT round(max_by(change_pct, (event_ts, tie, item_id)), 6) AS last_change_pct,
-           round(avg(change_pct), 6) AS avg_change_pct FROM inventory WHERE event_type = 'price_change'"""
+    SELECT round(1e-9 + max_by(change_pct, (event_ts, tie, item_id)), 6) AS last_change_pct,
+           round(1e-9 + avg(change_pct), 6) AS avg_change_pct FROM inventory WHERE event_type = 'price_change'"""
     .replace("max_by(change_pct, (event_ts, tie, item_id))",
              "(SELECT change_pct FROM inventory WHERE event_type = 'price_change' "
              "ORDER BY event_ts DESC, tie DESC, item_id DESC LIMIT 1)"))
@@ -218,9 +219,9 @@ def price_change_level(spark: SparkSession, sf: str) -> DataFrame:
 @query("latency_quantiles", """
     SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, endpoint,
            max(total) AS requests,
-           round(coalesce(min_by(low + (high - low) * (0.5::DOUBLE * total - before) / (upto - before), high)
+           round(1e-9 + coalesce(min_by(low + (high - low) * (0.5::DOUBLE * total - before) / (upto - before), high)
              FILTER (WHERE upto >= 0.5::DOUBLE * total), 5.0::DOUBLE), 6) AS p50,
-           round(coalesce(min_by(low + (high - low) * (0.99::DOUBLE * total - before) / (upto - before), high)
+           round(1e-9 + coalesce(min_by(low + (high - low) * (0.99::DOUBLE * total - before) / (upto - before), high)
              FILTER (WHERE upto >= 0.99::DOUBLE * total), 5.0::DOUBLE), 6) AS p99
     FROM (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, event_type AS endpoint, low, high,
             count(*) AS total, count(*) FILTER (WHERE value / 100 <= high) AS upto,
@@ -292,25 +293,25 @@ def top_k_per_user(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("ndcg_per_user", """
-    SELECT user_id, round(dcg, 6) AS dcg, round(idcg, 6) AS idcg, round(ndcg, 6) AS ndcg FROM ndcg_users""")
+    SELECT user_id, round(1e-9 + dcg, 6) AS dcg, round(1e-9 + idcg, 6) AS idcg, round(1e-9 + ndcg, 6) AS ndcg FROM ndcg_users""")
 def ndcg_per_user(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(ranking.ndcg_at_k(_predictions(spark, sf), per_user=True), "dcg", "idcg", "ndcg")
 
 
-@query("ndcg_at_k", "SELECT round(coalesce(avg(ndcg), 0), 6) AS ndcg_at_k FROM ndcg_users")
+@query("ndcg_at_k", "SELECT round(1e-9 + coalesce(avg(ndcg), 0), 6) AS ndcg_at_k FROM ndcg_users")
 def ndcg_at_k(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(ranking.ndcg_at_k(_predictions(spark, sf)), "ndcg_at_k")
 
 
 @query("map_at_k", """
-    SELECT round(coalesce(avg(ap), 0), 6) AS map_at_k FROM (
+    SELECT round(1e-9 + coalesce(avg(ap), 0), 6) AS map_at_k FROM (
       SELECT user_id, avg(precision) AS ap FROM precision_at_rank GROUP BY user_id)""")
 def map_at_k(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(ranking.map_at_k(_predictions(spark, sf)), "map_at_k")
 
 
 @query("map_at_k_relevant", """
-    SELECT round(coalesce(avg(ap), 0), 6) AS map_at_k FROM (
+    SELECT round(1e-9 + coalesce(avg(ap), 0), 6) AS map_at_k FROM (
       SELECT user_id, CASE WHEN sum(is_relevant) > 0 THEN sum(precision) / sum(is_relevant) ELSE 0 END AS ap
       FROM precision_at_rank GROUP BY user_id)""")
 def map_at_k_relevant(spark: SparkSession, sf: str) -> DataFrame:
@@ -318,9 +319,9 @@ def map_at_k_relevant(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("regression_metrics", """
-    SELECT round(sqrt(avg((rating - prediction) ** 2)), 6) AS rmse,
-           round(avg(abs(rating - prediction)), 6) AS mae,
-           round(1 - sum((rating - prediction) ** 2) / (var_pop(rating) * count(*)), 6) AS r2
+    SELECT round(1e-9 + sqrt(avg((rating - prediction) ** 2)), 6) AS rmse,
+           round(1e-9 + avg(abs(rating - prediction)), 6) AS mae,
+           round(1e-9 + 1 - sum((rating - prediction) ** 2) / (var_pop(rating) * count(*)), 6) AS r2
     FROM predictions""")
 def regression_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(ranking.regression_metrics(_predictions(spark, sf)), "rmse", "mae", "r2")
@@ -334,8 +335,8 @@ def split_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("revenue_impact", """
-    SELECT round(avg((avg_price - current_price) / current_price * 100), 6) AS avg_revenue_change_pct,
-           round(avg(avg_price - current_price), 6) AS avg_price_diff FROM product_features""")
+    SELECT round(1e-9 + avg((avg_price - current_price) / current_price * 100), 6) AS avg_revenue_change_pct,
+           round(1e-9 + avg(avg_price - current_price), 6) AS avg_price_diff FROM product_features""")
 def revenue_impact(spark: SparkSession, sf: str) -> DataFrame:
     scored = products(spark, sf).select(
         F.col("current_price").alias("target_price"), F.col("avg_price").alias("prediction")
@@ -347,7 +348,7 @@ _FACTORS = (13, 17, 23)
 
 
 @query("best_run", """
-    SELECT 'run_' || factor AS run_name, round(avg(ndcg), 6) AS metric_value FROM (
+    SELECT 'run_' || factor AS run_name, round(1e-9 + avg(ndcg), 6) AS metric_value FROM (
       SELECT d.factor, d.user_id, CASE WHEN idcg > 0 THEN dcg / idcg ELSE 0 END AS ndcg FROM (
         SELECT factor, user_id, sum(rating / log2(rank + 1)) AS dcg FROM (
           SELECT *, row_number() OVER (PARTITION BY factor, user_id ORDER BY score DESC, item_id) AS rank
@@ -375,20 +376,23 @@ def best_run(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("review_stats", """
-    SELECT product_id, round(avg_review_score, 6) AS avg_review_score, num_reviews FROM review_stats""")
+    SELECT product_id, round(1e-9 + avg_review_score, 6) AS avg_review_score, num_reviews FROM review_stats""")
 def review_stats(spark: SparkSession, sf: str) -> DataFrame:
     stats = pricing.review_stats(fx.reviews(spark, sf), fx.order_items(spark, sf))
     return rounded(stats, "avg_review_score")
 
 
-@query("pricing_dataset", """
+_PRICING = """
     SELECT product_id, price AS target_price, freight_value, length(p_name)::DOUBLE AS name_length,
            0.0::DOUBLE AS desc_length, 0.0::DOUBLE AS photo_count, p_size::DOUBLE AS weight_g,
            0.0::DOUBLE AS length_cm, 0.0::DOUBLE AS height_cm, 0.0::DOUBLE AS width_cm,
-           round(coalesce(avg_review_score, 0), 6) AS avg_review_score,
+           round(1e-9 + coalesce(avg_review_score, 0), 6) AS avg_review_score,
            coalesce(num_reviews, 0) AS num_reviews
     FROM order_items LEFT JOIN part ON product_id = p_partkey LEFT JOIN review_stats USING (product_id)
-    WHERE price > 0""")
+    WHERE price > 0"""
+
+
+@query("pricing_dataset", _PRICING)
 def pricing_dataset(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(_pricing(spark, sf), "avg_review_score")
 
@@ -399,11 +403,22 @@ def _pricing(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("pricing_dataset_csv", _PRICING)
+def pricing_dataset_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """The same rows by way of three headed CSV files."""
+    made = {"order_items": fx.order_items, "products": fx.products, "reviews": fx.reviews}
+    paths = {name: scratch(spark, name) for name in made}
+    for name, build in made.items():
+        write_csv(build(spark, sf), paths[name])
+    rows = pricing_data(spark, scratch(spark, "no-gold"), paths)
+    return rounded(rows.withColumn("product_id", F.col("product_id").cast("bigint")), "avg_review_score")
+
+
 @query("pricing_dataset_gold", """
     SELECT item_id, current_price AS target_price, view_count, cart_count, purchase_count, unique_users,
            view_to_cart_rate, cart_to_purchase_rate, coalesce(current_stock, 100) AS current_stock,
-           demand_score, stock_velocity, round(coalesce(avg_price, current_price), 6) AS avg_price,
-           round(coalesce(price_stddev, 0), 6) AS price_stddev,
+           demand_score, stock_velocity, round(1e-9 + coalesce(avg_price, current_price), 6) AS avg_price,
+           round(1e-9 + coalesce(price_stddev, 0), 6) AS price_stddev,
            coalesce(num_price_changes, 0) AS num_price_changes
     FROM product_features WHERE current_price IS NOT NULL""")
 def pricing_dataset_gold(spark: SparkSession, sf: str) -> DataFrame:
@@ -411,7 +426,7 @@ def pricing_dataset_gold(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("price_request_defaults", """
-    SELECT item_id, current_stock, demand_score, round(competitor_price, 6) AS competitor_price,
+    SELECT item_id, current_stock, demand_score, round(1e-9 + competitor_price, 6) AS competitor_price,
            view_count_1h, cart_count_1h FROM price_requests""")
 def price_request_defaults(spark: SparkSession, sf: str) -> DataFrame:
     requests = serving.price_request_defaults(fx.price_requests(products(spark, sf)))

@@ -77,8 +77,8 @@ def silver_clickstream(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("silver_inventory", """
-    SELECT event_type, item_id, stock_level, units_sold, old_price, round(new_price, 6) AS new_price,
-           round(change_pct, 6) AS change_pct, restock_quantity, category,
+    SELECT event_type, item_id, stock_level, units_sold, old_price, round(1e-9 + new_price, 6) AS new_price,
+           round(1e-9 + change_pct, 6) AS change_pct, restock_quantity, category,
            CAST(event_ts AS DATE) AS event_date FROM inventory""")
 def silver_inventory(spark: SparkSession, sf: str) -> DataFrame:
     rows = silver.silver_inventory(fx.bronze(spark, sf, "inventory")).select(
@@ -157,14 +157,14 @@ def latest_price(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("price_stats", """
-    SELECT item_id, round(avg_price, 6) AS avg_price, min_price, max_price,
-           round(price_stddev, 6) AS price_stddev, num_price_changes FROM price_stats""")
+    SELECT item_id, round(1e-9 + avg_price, 6) AS avg_price, min_price, max_price,
+           round(1e-9 + price_stddev, 6) AS price_stddev, num_price_changes FROM price_stats""")
 def price_stats(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(gold.price_stats(fx.inventory(spark, sf)), "avg_price", "price_stddev")
 
 
 @query("product_features", """
-    SELECT * REPLACE (round(avg_price, 6) AS avg_price, round(price_stddev, 6) AS price_stddev)
+    SELECT * REPLACE (round(1e-9 + avg_price, 6) AS avg_price, round(1e-9 + price_stddev, 6) AS price_stddev)
     FROM product_features""")
 def product_features(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(products(spark, sf), "avg_price", "price_stddev")
@@ -365,7 +365,7 @@ def top_engaged_users(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("conversion_by_device", """
-    SELECT primary_device, round(avg(conversion_rate), 6) AS avg_conversion_rate, count(*) AS users
+    SELECT primary_device, round(1e-9 + avg(conversion_rate), 6) AS avg_conversion_rate, count(*) AS users
     FROM user_profiles GROUP BY primary_device""")
 def conversion_by_device(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(_ask(spark, sf, gs.conversion_by_device()), "avg_conversion_rate")
