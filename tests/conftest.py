@@ -11,7 +11,7 @@ from tillstream import session
 @pytest.fixture(scope="session")
 def spark():
     built = session.build(
-        "tests", master="local[8]", shuffle_partitions=8,
+        "tests", master="local[8]", shuffle_partitions=3,
         conf={"spark.ui.enabled": "false", "spark.driver.memory": "8g"},
     )
     built.sparkContext.setLogLevel("ERROR")
