@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import licences, line_dedup, url_filter
+from public_tokenizers import path
+
+from . import language, licences, line_dedup, packing, simhash, url_filter
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,3 +112,25 @@ SELECT doc_id, scope, line, licence FROM plain JOIN digests ON sha256(plain) = d
 @query("op6_licence_scan", _OP6)
 def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan_licences(table(spark, sf_dir, "documents"))
+
+
+@query("op1_pack")
+def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(
+        table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"), end_id=0, room=2048,
+        derive={"ids_crc32": F.crc32("ids")},
+    )
+
+
+@query("op3_language_id")
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs.filter(~language.held_out()))
+    predicted = language.predict(docs, model)
+    return predicted.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query("op7_simhash_near_dup")
+def op7_simhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, words=1, radius=2)
+    return found.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")

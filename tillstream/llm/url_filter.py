@@ -19,6 +19,7 @@ from .common import written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MAX_LEVEL_BITS = 1 << 27  # 16 MB: what a level may weigh in every task
+MAX_BROADCAST_KEYS = 100_000
 
 
 @dataclass(frozen=True)
@@ -59,9 +60,11 @@ def _level(keys: DataFrame, number: int, bits_per_key: int, hashes: int) -> Leve
 
 def build_cascade(listed: DataFrame, universe: DataFrame, bits_per_key: int = 24, hashes: int = 6) -> list[Level]:
     """Levels for ``listed.key`` over ``universe.key`` (repeats allowed). Only
-    false positives are shuffled; the universe itself is just filtered."""
+    false positives are shuffled; the universe itself is just filtered, with the
+    listed keys in every task while there are at most MAX_BROADCAST_KEYS."""
     wanted = listed.select("key").filter("key IS NOT NULL").distinct()
-    others = universe.select("key").join(wanted, "key", "left_anti")
+    small = wanted.limit(MAX_BROADCAST_KEYS + 1).count() <= MAX_BROADCAST_KEYS
+    others = universe.select("key").join(F.broadcast(wanted) if small else wanted, "key", "left_anti")
     levels: list[Level] = []
     inside, outside = wanted, others
     while (level := _level(inside, len(levels) + 1, bits_per_key, hashes)) is not None:
