@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from public_tokenizers import path
 
-from . import language, licences, line_dedup, packing, simhash, url_filter
+from . import embeddings, language, licences, line_dedup, packing, simhash, token_files, url_filter
+from ..session import scratch
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -134,3 +135,16 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_simhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, words=1, radius=2)
     return found.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
+
+
+@query("op9_token_files")
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch(spark, "token-files")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), folder, path("word_bpe_49k.json"), "word", end_id=2)
+    found = token_files.read_token_files(spark, folder)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op10_embedding_near_dup")
+def op10_embedding_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
