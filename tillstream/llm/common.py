@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
@@ -14,6 +14,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def once(value: Column) -> Column:
+    """``value`` as the output of a generator. Filters on it are then not pushed
+    below, where they would compute the expression a second time."""
+    return F.explode(F.array(value))
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The rows as files in the shared scratch folder: what follows reads them
     instead of computing them again, and a lost executor costs no recomputation."""

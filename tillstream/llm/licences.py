@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import once
+
 # Words that licence matching treats as the same, as whole words.
 EQUIVALENT = {
     "licence": "license", "licences": "licenses", "licenced": "licensed", "sublicence": "sublicense",
@@ -83,6 +89,32 @@ def canonical(text: Column) -> Column:
     return F.trim(plain)
 
 
+def anchors(known) -> list[str]:
+    """Words of which every known text holds one: chosen one by one to cover the
+    most texts, the longest first. Normalising leaves these words as they are,
+    so a text without any of them cannot be known."""
+    changed = {w for pair in EQUIVALENT.items() for side in pair for w in side.split()} | {"copyright", "reserved"}
+    left = []
+    for _, text in known:
+        found = {w for w in re.findall(r"[a-z]{3,}", text.lower()) if w not in changed}
+        if not found:
+            return []
+        left.append(found)
+    chosen = []
+    while left:
+        times = Counter(w for found in left for w in found)
+        best = max(times, key=lambda w: (times[w], len(w), w))
+        chosen.append(best)
+        left = [found for found in left if best not in found]
+    return chosen
+
+
+def _may_match(text: Column, words: list[str]) -> Column:
+    if not words:
+        return F.lit(True)
+    return reduce(lambda a, b: a | b, [F.contains(F.lower(text), F.lit(w)) for w in words])
+
+
 def known_digests(spark, known=KNOWN) -> DataFrame:
     """(licence, digest), one row per known text; a digest listed twice counts once."""
     rows = spark.createDataFrame(list(known), "licence string, text string")
@@ -98,21 +130,23 @@ def scan_licences(docs: DataFrame, known=KNOWN, id_col: str = "doc_id", text_col
 
     Null and empty texts, and those with nothing left after normalising, match
     nothing; rows with a null doc_id are scanned like others; repeated rows give
-    repeated results. Long texts are digested whole. The digest table is the
+    repeated results. Long texts are digested whole. Only texts and lines with a
+    word that every known text holds one of are normalised. The digest table is the
     caller's licence list; it goes to every task while it holds at most 100,000
     entries and is joined by a shuffle beyond.
     """
     spark = docs.sparkSession
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    words = anchors(known)
+    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).filter(_may_match(F.col("text"), words))
     whole = base.select("doc_id", F.lit("text").alias("scope"), F.lit(None).cast("int").alias("line"), "text")
     texts = whole
     if lines:
         split = base.select("doc_id", F.lit("line").alias("scope"), F.posexplode(F.split("text", "\n")).alias("line", "text"))
-        texts = whole.unionByName(split.filter(F.length("text") > 0))
+        texts = whole.unionByName(split.filter(_may_match(F.col("text"), words)))
     digests = known_digests(spark, known)
     if len(known) <= 100_000:
         digests = F.broadcast(digests)
-    plain = texts.withColumn("plain", canonical(F.col("text"))).filter("plain <> ''")
+    plain = texts.select("doc_id", "scope", "line", once(canonical(F.col("text"))).alias("plain")).filter("plain <> ''")
     return (
         plain.select("doc_id", "scope", "line", F.sha2("plain", 256).alias("digest"))
         .join(digests, "digest").select("doc_id", "scope", "line", "licence")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from public_tokenizers import path
 
-from . import embeddings, language, licences, line_dedup, packing, simhash, token_files, url_filter
+from . import decontamination, embeddings, language, licences, line_dedup, packing, simhash, token_files, url_filter
 from ..session import scratch
 from .common import table
 
@@ -148,3 +148,8 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_embedding_near_dup")
 def op10_embedding_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
+@query("op8_decontaminate")
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
