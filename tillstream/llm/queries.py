@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from public_tokenizers import path
 
-from . import decontamination, embeddings, language, licences, line_dedup, packing, simhash, token_files, url_filter
+from . import decontamination, embeddings, language, licences, line_dedup, packing, simhash, suffix_dedup, token_files, url_filter
 from ..session import scratch
 from .common import table
 
@@ -153,3 +153,13 @@ def op10_embedding_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_decontaminate")
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op2_suffix_dedup")
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+    length = F.aggregate("removed", F.lit(0).cast("bigint"), lambda acc, r: acc + r["end"] - r["start"])
+    return found.select(
+        "doc_id", "n_bytes", length.alias("n_removed"), F.size("removed").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
