@@ -14,6 +14,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from .common import components, map_texts, written
@@ -165,33 +166,46 @@ def near_pairs(prints: np.ndarray, sizes: np.ndarray, radius: int, planes: list[
                 yield i, i + lag
 
 
-def _forest(reps: np.ndarray, pairs) -> tuple[np.ndarray, np.ndarray]:
-    """(rep, least rep of its class) for the rows that any pair links."""
-    parent = np.arange(len(reps))
+def nearest_forest(prints: np.ndarray, pairs, at_once: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs (i, j) of a minimum spanning forest by distance: each class of
+    linked rows is held together by its closest pairs. Pairs come in parts; of
+    what was seen so far only the forest is kept."""
+    words = np.ascontiguousarray(prints).view(">u8").astype(np.uint64)
+    kept = [np.empty(0, np.int64)] * 3
+    waiting, size = [], 0
 
-    def find(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
+    def reduced() -> list[np.ndarray]:
+        i, j, d = (np.concatenate(c) for c in zip(kept, *waiting))
+        order = np.argsort(d, kind="stable")
+        parent: dict[int, int] = {}
 
-    for i, j in pairs:
-        apart = parent[i] != parent[j]
-        for a, b in zip(i[apart].tolist(), j[apart].tolist()):
+        def find(x: int) -> int:
+            while (up := parent.get(x, x)) != x:
+                parent[x] = x = parent.get(up, up)
+            return x
+
+        chosen = []
+        for k, a, b in zip(order.tolist(), i[order].tolist(), j[order].tolist()):
             a, b = find(a), find(b)
             if a != b:
-                if reps[b] < reps[a]:
-                    a, b = b, a
-                parent[b] = a
-    roots = np.array([find(x) for x in np.flatnonzero(parent != np.arange(len(reps))).tolist()], dtype=np.int64)
-    moved = np.flatnonzero(parent != np.arange(len(reps)))
-    return reps[moved], reps[roots]
+                parent[max(a, b)] = min(a, b)
+                chosen.append(k)
+        return [c[np.array(chosen, np.int64)] for c in (i, j, d)]
+
+    for i, j in pairs:
+        waiting.append((i, j, np.bitwise_count(words[i] ^ words[j]).sum(axis=1, dtype=np.int64)))
+        size += len(i)
+        if size >= at_once:
+            kept, waiting, size = reduced(), [], 0
+    if waiting:
+        kept = reduced()
+    return kept[0], kept[1]
 
 
 def links(prints: DataFrame, tables: list[tuple[int, ...]], radius: int) -> DataFrame:
     """(a, b) between the ``rep`` ids of distinct fingerprints ``fp`` that share
-    a bucket and differ in at most ``radius`` bits: for each bucket a forest of
-    its classes, never all its pairs. Buckets beyond TILE rows are dealt to many
+    a bucket and differ in at most ``radius`` bits: for each bucket the closest
+    pairs that hold its classes together, never all its pairs. Buckets beyond TILE rows are dealt to many
     tasks as pairs of chunks."""
     keyed = written(_keyed(prints, tables), "simhash-keys")
     many = keyed.groupBy("tab", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -217,8 +231,8 @@ def links(prints: DataFrame, tables: list[tuple[int, ...]], radius: int) -> Data
             fps, reps = fps[take], reps[take]
             fixed = set(tables[table])
             planes = [b for b in range(fps.shape[1] * 8) if b not in fixed]
-            a, b = _forest(reps, near_pairs(fps, sizes, radius, planes))
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            i, j = nearest_forest(fps, near_pairs(fps, sizes, radius, planes))
+            return pa.RecordBatch.from_arrays([pa.array(reps[i]), pa.array(reps[j])], names=["a", "b"])
 
         def buckets():
             """Whole buckets of one table, as (table, fps, reps, sizes)."""
@@ -258,13 +272,56 @@ def links(prints: DataFrame, tables: list[tuple[int, ...]], radius: int) -> Data
     return dealt.mapInArrow(compare, "a bigint, b bigint")
 
 
+def shingle_set(text: bytes, shingle: int) -> set[bytes]:
+    found = text.lower().split()
+    if len(found) <= shingle:
+        return {b" ".join(found)} if found else set()
+    return {b" ".join(s) for s in zip(*(found[i:] for i in range(shingle)))}
+
+
+def verified(pairs: DataFrame, docs: DataFrame, shingle: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
+    """The pairs (a, b) of document ids whose sets of shingles have a Jaccard
+    similarity of at least ``similarity``. Texts go compressed to the pairs that
+    need them; a pair whose text is missing is dropped."""
+
+    def pack(batches):
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            raw = [squeeze((t or "").encode("utf-8")) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(raw, pa.binary())], names=["doc", "raw"])
+
+    pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct(), "near-pairs")
+    needed = written(pairs.select(F.col("a").alias("doc")).union(pairs.select(F.col("b").alias("doc"))).distinct(), "near-ids")
+    texts = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).cast("string").alias("text"))
+    texts = texts.join(needed, "doc", "left_semi").mapInArrow(pack, "doc bigint, raw binary")
+    texts = written(texts.groupBy("doc").agg(F.min("raw").alias("raw")), "near-texts")
+    both = pairs.join(texts.select(F.col("doc").alias("a"), F.col("raw").alias("raw_a")), "a").join(
+        texts.select(F.col("doc").alias("b"), F.col("raw").alias("raw_b")), "b")
+
+    def compare(batches):
+        unpack = zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            keep, last, own = [], None, set()
+            for raw_a, raw_b in zip(batch.column("raw_a").to_pylist(), batch.column("raw_b").to_pylist()):
+                if raw_b != last:
+                    last, own = raw_b, shingle_set(unpack(raw_b), shingle)
+                other = shingle_set(unpack(raw_a), shingle)
+                common = len(own & other)
+                keep.append(common >= similarity * (len(own) + len(other) - common))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return both.select("a", "b", "raw_a", "raw_b").mapInArrow(compare, "a bigint, b bigint")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, words: int = 1, radius: int = 2,
-                    tables: list[tuple[int, ...]] | None = None,
+                    tables: list[tuple[int, ...]] | None = None, similarity: float | None = None,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp, component_id): documents are linked when their fingerprints
     differ in at most ``radius`` bits; a component is named by its least doc_id.
 
-    ``tables`` default to keys that find every such pair. Equal fingerprints are
+    ``tables`` default to keys that find every such pair. With ``similarity`` the
+    closest pairs that hold a class together are kept only where the Jaccard
+    similarity of their sets of shingles reaches it. Equal fingerprints are
     one node, so copies meet in a partial aggregate and not in a comparison.
     Null, empty and blank texts have fingerprint zero and are linked like any
     other. A row with a null doc_id gets a fingerprint and no component. Rows
@@ -274,6 +331,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, words: int = 1, radius: i
     found = written(fingerprints(docs, shingle, words, id_col, text_col), "fingerprints")
     prints = written(found.filter("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("rep")), "prints")
     pairs = links(prints, tables or pair_keys(64 * words, radius + 2), radius)
+    if similarity is not None:
+        pairs = verified(pairs, docs, shingle, similarity, id_col, text_col)
     own = found.join(prints, "fp", "left").withColumnRenamed("rep", "_rep")
     repeated = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(
         F.min("fp").alias("fp"), F.max("fp").alias("_most")).filter("fp <> _most")
