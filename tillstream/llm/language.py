@@ -7,9 +7,11 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .common import map_texts
+from .common import map_texts, written
 
 _WORD = re.compile(r"[^\W\d_]+")
 _COUNTS = "lang string, n int, gram string, times bigint"
@@ -26,22 +28,30 @@ def _padded(word: str) -> str:
     return f"^{word}$"
 
 
+def sampled(labelled: DataFrame, rows_per_language: int, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """At most ``rows_per_language`` rows of each language, chosen by a hash of
+    the id. Counts per language give each a threshold that half as many rows
+    more pass on average; only those few are ranked, so neither a common
+    language nor its texts gather in one task."""
+    usable = labelled.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
+    chance = F.pmod(F.xxhash64(F.col(id_col), F.lit(3)), F.lit(1 << 30)) / float(1 << 30)
+    counts = written(usable.groupBy(lang_col).agg(F.count(F.lit(1)).alias("_rows")), "language-rows")
+    few = usable.join(counts, lang_col).filter(chance * F.col("_rows") <= 1.5 * rows_per_language)
+    rank = Window.partitionBy(lang_col).orderBy(F.xxhash64(id_col), F.col(id_col))
+    return few.withColumn("_rank", F.row_number().over(rank)).filter(F.col("_rank") <= rows_per_language)
+
+
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        sample_per_language: int = 2_000, min_times: int = 2, max_entries: int = 300_000) -> dict:
+        rows_per_language: int = 2_000, min_times: int = 2, max_entries: int = 150_000) -> dict:
     """The word and n-gram tables of a bounded sample of labelled rows.
 
-    Per language the ``sample_per_language`` rows least by a hash of their id
-    are taken (a group limit that Spark applies before the shuffle), their words
-    and n-grams of 1 to 5 characters are counted, and of what occurs at least
-    ``min_times`` times the ``max_entries`` most frequent entries reach the
-    driver. Rows without text or label teach nothing.
+    The words and n-grams of 1 to 5 characters of at most ``rows_per_language``
+    rows per language are counted; of what occurs at least ``min_times`` times
+    the ``max_entries`` most frequent entries reach the driver. Rows without
+    text or label teach nothing.
     """
-    rank = Window.partitionBy(lang_col).orderBy(F.xxhash64(id_col), F.col(id_col))
-    sample = (
-        labelled.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-        .withColumn("_rank", F.row_number().over(rank)).filter(F.col("_rank") <= sample_per_language)
-        .select(F.lit(0).alias("_id"), F.concat_ws("\n", lang_col, text_col).alias("_text"))
-    )
+    sample = sampled(labelled, rows_per_language, id_col, text_col, lang_col).select(
+        F.lit(0).alias("_id"), F.concat_ws("\n", lang_col, text_col).alias("_text"))
 
     def rows(pairs):
         by_lang: dict[str, Counter] = {}
@@ -67,27 +77,26 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
                 yield from out()
         yield from out()
 
-    summed = map_texts(sample, rows, _COUNTS, "_id", "_text").groupBy("n", "gram", "lang").agg(F.sum("times").alias("times"))
-    entries = (
-        summed.groupBy("n", "gram").agg(F.map_from_entries(F.collect_list(F.struct("lang", "times"))).alias("times"),
-                                        F.sum("times").alias("total"))
-        .filter(F.col("total") >= min_times).orderBy(F.desc("total"), "n", "gram").limit(max_entries).collect()
-    )
-    langs = sorted({lang for e in entries for lang in e["times"]})
-    totals = np.zeros((LONGEST + 1, max(len(langs), 1)))
-    for e in entries:
-        for lang, times in e["times"].items():
-            totals[e["n"], langs.index(lang)] += times
-    known: dict[int, dict[str, np.ndarray]] = {n: {} for n in range(LONGEST + 1)}
-    sizes = Counter(e["n"] for e in entries)
-    for e in entries:
-        n, times = e["n"], np.zeros(len(langs))
-        for lang, t in e["times"].items():
-            times[langs.index(lang)] = t
-        known[n][e["gram"]] = np.log((times + 0.5) / (totals[n] + 0.5 * sizes[n])).astype(np.float32)
-    first = sorted(range(len(langs)), key=lambda i: (-totals[0, i], langs[i]))
-    order = [langs[i] for i in first]
-    return {"langs": order, "known": {n: {g: v[first] for g, v in t.items()} for n, t in known.items()}}
+    counted = map_texts(sample, rows, _COUNTS, "_id", "_text").groupBy("n", "gram", "lang").agg(F.sum("times").alias("times"))
+    counted = written(counted, "language-counts")
+    kept = counted.groupBy("n", "gram").agg(F.sum("times").alias("total")).filter(F.col("total") >= min_times)
+    kept = kept.orderBy(F.desc("total"), "n", "gram").limit(max_entries)
+    entries = counted.join(kept, ["n", "gram"]).select("n", "gram", "lang", "times").toArrow().to_pydict()
+    langs = sorted(set(entries["lang"]))
+    column = {lang: i for i, lang in enumerate(langs)}
+    times: dict[int, dict[str, np.ndarray]] = {n: {} for n in range(LONGEST + 1)}
+    for n, gram, lang, count in zip(entries["n"], entries["gram"], entries["lang"], entries["times"]):
+        own = times[n].get(gram)
+        if own is None:
+            own = times[n][gram] = np.zeros(len(langs), np.float32)
+        own[column[lang]] = count
+    totals = {n: np.sum(list(table.values()), axis=0, dtype=np.float64) if table else np.zeros(len(langs)) for n, table in times.items()}
+    order = sorted(range(len(langs)), key=lambda i: (-totals[0][i], langs[i]))
+    known = {
+        n: {gram: np.log((own[order] + 0.5) / (totals[n][order] + 0.5 * len(table))).astype(np.float32) for gram, own in table.items()}
+        for n, table in times.items()
+    }
+    return {"langs": [langs[i] for i in order], "known": known}
 
 
 class Scorer:
@@ -138,18 +147,30 @@ class Scorer:
         return self._langs[best], score if math.isfinite(score) else 0.0
 
 
-def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, lang_pred, score) for every row: ``und`` with score 0 where the
-    text is null or has no letter (also when nothing was learned), else the best
-    language and its share in the likelihoods. Equal scores go to the language
-    with more words learned, then by name. Whole texts are read; repeated rows
-    and null ids are judged like others. The model goes to the tasks; ``fit``
-    bounds its size."""
+def with_language(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``score`` for every row: ``und`` with
+    score 0 where the text is null or has no letter (also when nothing was
+    learned), else the best language and its share in the likelihoods. Equal
+    scores go to the language with more words learned, then by name. Whole texts
+    are read; repeated rows and null ids are judged like others; columns that
+    have these names are replaced. The model goes to the tasks; ``fit`` bounds
+    its size."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    docs = docs.drop("lang_pred", "score")
+    names = docs.columns
 
-    def rows(pairs):
+    def rows(batches):
         score = Scorer(shared.value)
-        for doc, text in pairs:
-            yield doc, *score(text)
+        for batch in batches:
+            found = [score(t) for t in batch.column(text_col).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
+                names=[*names, "lang_pred", "score"])
+
+    return docs.mapInArrow(rows, StructType([*docs.schema, StructField("lang_pred", StringType()), StructField("score", DoubleType())]))
 
-    return map_texts(docs, rows, "doc_id bigint, lang_pred string, score double", id_col, text_col)
+
+def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, lang_pred, score) of ``with_language``."""
+    typed = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return with_language(typed, model).select("doc_id", "lang_pred", "score")
