@@ -148,6 +148,18 @@ def test_bucket_passes_with_equal_keys(spark, monkeypatch):
     assert found == [i * 1000003 for i in range(13)]
 
 
+@pytest.mark.parametrize("one_sort", [1, 1 << 20])
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 4, 5, 9])
+def test_missing_and_wide_keys_take_the_same_place_on_both_paths(spark, monkeypatch, one_sort, n):
+    monkeypatch.setattr(subsets, "_ONE_SORT", one_sort)
+    monkeypatch.setattr(subsets, "_BUCKETS", 4)
+    rows = [(None, 3), (None, 1), (-2**63, 9), (2**63 - 1, 8), (5, 2**62), (5, -2**62), (5, None)]
+    table = spark.createDataFrame(rows, "key bigint, tie bigint")
+    expected = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] is None, r[1] or 0))[:n]
+    found = [tuple(r) for r in subsets.least_n(table, n, "key", "tie").collect()]
+    assert sorted(map(repr, found)) == sorted(map(repr, expected))
+
+
 def test_subset_keeps_all_events_of_its_users(log, rows, monkeypatch):
     users = set(expected_active(rows, 9))
     kept = [r for r in rows if r[1] in users]

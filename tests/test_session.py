@@ -12,6 +12,15 @@ def test_scratch_follows_the_shared_folder(spark):
     assert a != b and (not base or a.startswith(base))
 
 
+def test_no_machine_local_folder_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    conf = SimpleNamespace(get=lambda key, default: default)
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,512]"):
+        with pytest.raises(ValueError):
+            session.scratch(SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master)), "x")
+
+
 def test_scope_removes_what_it_made(spark):
     kept = session.scratch(spark, "kept")
     spark.range(1).write.parquet(kept)

@@ -5,6 +5,7 @@ from .columns import (  # noqa: F401
     first_of,
     event_time,
     event_date,
+    hash_bucket,
     implicit_rating,
     iso_text,
     null_safe_keys,

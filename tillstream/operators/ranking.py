@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions import safe_ratio, split_bucket
+from ..functions import hash_bucket, safe_ratio, split_bucket
 
 
 def _ranked(predictions: DataFrame, by: str, k: int) -> DataFrame:
@@ -96,13 +96,19 @@ def revenue_impact(predictions: DataFrame) -> DataFrame:
 
 
 def with_split(df: DataFrame, *keys: str) -> DataFrame:
-    """Adds ``is_train`` for a repeatable 80/20 split by key arithmetic."""
+    """Adds ``is_train`` for a repeatable 80/20 split by key arithmetic, which
+    another engine can repeat."""
     return df.withColumn("is_train", split_bucket(*keys) < 8)
 
 
+def with_key_split(df: DataFrame, *keys: str) -> DataFrame:
+    """The same by a hash of the keys: what models are trained on."""
+    return df.withColumn("is_train", hash_bucket(*keys) < 8)
+
+
 def with_row_split(df: DataFrame) -> DataFrame:
     """The same for rows without whole-number keys, by a hash of the whole row."""
-    return df.withColumn("is_train", F.pmod(F.xxhash64(*df.columns), F.lit(10)) < 8)
+    return df.withColumn("is_train", hash_bucket(*df.columns) < 8)
 
 
 def split_counts(df: DataFrame) -> DataFrame:

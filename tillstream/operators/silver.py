@@ -40,15 +40,20 @@ def reject_reason(required: Sequence[str], types: Sequence[str] | None) -> Colum
     return first_of(steps)
 
 
+def _position(bronze: DataFrame) -> list[str]:
+    """Where a record stood in its topic: what decides between equal times."""
+    return [c for c in ("partition", "offset") if c in bronze.columns]
+
+
 def accepted(bronze: DataFrame, topic: str, accept: Sequence[str] | None = None) -> DataFrame:
-    """Silver rows: payload, envelope times, typed event time, stamp and day.
+    """Silver rows: payload, envelope times and position, typed event time, stamp and day.
 
     ``accept`` sets an allow-list of event types where the topic has none
     (user events). A row with an unreadable time stays, without a day.
     """
     schema, required, types = RULES[topic]
     return (
-        parse_payload(bronze, schema, keep=("kafka_timestamp", "ingestion_timestamp"))
+        parse_payload(bronze, schema, keep=("kafka_timestamp", "ingestion_timestamp", *_position(bronze)))
         .filter(reject_reason(required, accept or types).isNull())
         .withColumn("event_ts", event_time("timestamp"))
         .withColumn("processed_at", F.current_timestamp())

@@ -24,23 +24,40 @@ def _written(df: DataFrame) -> DataFrame:
 
 
 def least_n(table: DataFrame, n: int, key: str, tie: str) -> DataFrame:
-    """The n rows least by (key, tie), for an n too big for one sort; ``tie`` is unique.
+    """The n rows least by (key, tie), NULLs last, for an n too big for one sort;
+    ``tie`` is unique.
 
     A sort-and-limit would merge n rows from *every* task in one. Here the
     whole-number key is counted into equal-width buckets; buckets wholly below
     the n-th row pass by a filter, and the one that holds it is split again
-    until what is left fits one small sort. Rows equal on the key go on by the
-    tie. Only bucket totals reach the driver; the result is exact for any keys.
+    until what is left fits one small sort. Rows equal on the key, and those
+    without one, go on by the tie. Only bucket totals reach the driver; the
+    result is exact for any 64-bit keys and the same for any _ONE_SORT.
     """
-    parts, rest, room = [], table, n
+    parts, rest, room, column = [], table, n, key
     while True:
-        low, high, rows = rest.agg(F.min(key), F.max(key), F.count(F.lit(1))).first()
+        low, high, rows, known = rest.agg(
+            F.min(column), F.max(column), F.count(F.lit(1)), F.count(column)
+        ).first()
         if rows <= max(room, _ONE_SORT) or room <= 0:
             break
+        if known < rows:
+            has_value = F.col(column).isNotNull()
+            if known >= room:
+                rest = rest.filter(has_value)
+            elif column == tie:
+                break  # at most one row has no tie
+            else:
+                parts.append(rest.filter(has_value))
+                rest, room, column = rest.filter(~has_value), room - known, tie
+            continue
         if low == high:
-            key, (low, high) = tie, rest.agg(F.min(tie), F.max(tie)).first()
+            if column == tie:
+                break
+            column = tie
+            continue
         width = (high - low) // _BUCKETS + 1
-        bucket = F.floor((F.col(key) - low) / F.lit(width))
+        bucket = F.expr(f"(CAST(`{column}` AS DECIMAL(20,0)) - CAST('{low}' AS DECIMAL(20,0))) div CAST('{width}' AS DECIMAL(20,0))")
         up = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         edge, before = (  # a window over at most _BUCKETS rows
             rest.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("rows"))
@@ -51,7 +68,8 @@ def least_n(table: DataFrame, n: int, key: str, tie: str) -> DataFrame:
         )
         parts.append(rest.filter(bucket < edge))
         rest, room = rest.filter(bucket == edge), room - before
-    parts.append(rest if rows <= room else rest.orderBy(key, tie).limit(room))
+    order = [F.col(c).asc_nulls_last() for c in (key, tie)]
+    parts.append(rest if rows <= room else rest.orderBy(*order).limit(max(room, 0)))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -12,7 +12,14 @@ from ..schemas import GOLD
 from ..sources.tables import read_optional
 
 ROW_CAP = 100
-_JAVA_CALLS = re.compile(r"\b(reflect|java_method|try_reflect)\s*\(", re.IGNORECASE)
+_QUOTED = re.compile(r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`", re.DOTALL)
+_COMMENT = re.compile(r"--|/\*")
+# Classes of Spark's plans: what may stand without children, what makes rows of
+# its own, calls by reflection, and expressions that hold a query.
+_LEAVES = {"OneRowRelation", "CTERelationRef"}
+_NO_TABLE = {"Range", "Generate", "UnresolvedTableValuedFunction"}
+_JAVA_CALLS = {"CallMethodViaReflection", "TryReflect"}
+_SUBQUERIES = {"ScalarSubquery", "Exists", "ListQuery", "LateralSubquery"}
 
 
 class Refused(ValueError):
@@ -38,47 +45,86 @@ def gold_session(spark: SparkSession,
     return session
 
 
+def _each(sequence):
+    """Members of a Scala sequence."""
+    return (sequence.apply(i) for i in range(sequence.size()))
+
+
+def _class(node) -> str:
+    return node.getClass().getSimpleName().rstrip("$")
+
+
+def _objection(plan, views: set[str]) -> str | None:
+    """Why an analysed plan is not a query over ``views`` alone, or None. What
+    lies below a view is ours and is not looked into."""
+    kind = _class(plan)
+    if kind == "View":
+        name = plan.desc().identifier().table()
+        return None if plan.isTempView() and name.lower() in views else f"only Gold tables are accessible, not {name}"
+    if kind in _NO_TABLE or (plan.children().isEmpty() and kind not in _LEAVES):
+        return f"only Gold tables are accessible, not {plan.simpleString(3)}"
+    waiting = list(_each(plan.expressions()))
+    while waiting:
+        expression = waiting.pop()
+        if _class(expression) in _JAVA_CALLS:
+            return "calls into Java are not allowed"
+        if _class(expression) in _SUBQUERIES and (reason := _objection(expression.plan(), views)):
+            return reason
+        waiting += _each(expression.children())
+    return next((reason for child in _each(plan.children()) if (reason := _objection(child, views))), None)
+
+
 def check_read_only(session: SparkSession, sql: str) -> tuple[bool, str]:
-    """(accepted, cleaned statement or reason). Spark's own analysis decides
-    what is a query and which tables it names: put in parentheses, anything but
-    one SELECT fails to parse, whatever words its columns or literals hold."""
+    """(accepted, cleaned statement or reason). Put in parentheses, anything but
+    one SELECT fails to parse; then Spark's analysed plan tells which tables and
+    functions the statement uses, whatever words its literals hold."""
     text = sql.strip()
     text = text[:-1].rstrip() if text.endswith(";") else text
     if not re.match(r"select\b", text, re.IGNORECASE):
         return False, "a query must start with SELECT"
-    if "--" in text or "/*" in text:
+    if _COMMENT.search(_QUOTED.sub("''", text)):
         return False, "comments are not allowed"
-    if _JAVA_CALLS.search(text):
-        return False, "calls into Java are not allowed"
-    for table in session.catalog.listTables():
-        if not table.isTemporary and re.search(rf"\b{re.escape(table.name)}\b", text, re.IGNORECASE):
-            return False, f"unknown table: {table.name}"
-    places = [session.catalog.currentCatalog(), "global_temp"]
-    for place in places + [d.name for d in session.catalog.listDatabases()]:
-        if re.search(rf"(\b|`){re.escape(place)}`?\s*\.", text, re.IGNORECASE):
-            return False, f"only Gold tables are accessible, not {place}"
     try:
-        session.sql(f"SELECT * FROM (\n{text}\n)")
+        plan = session.sql(f"SELECT * FROM (\n{text}\n)")._jdf.queryExecution().analyzed()
     except ParseException:
         return False, "not a single SELECT statement"
     except AnalysisException as error:
         return False, error.getMessage().splitlines()[0]
-    return True, text
+    views = {t.name.lower() for t in session.catalog.listTables() if t.isTemporary}
+    reason = _objection(plan, views)
+    return (False, reason) if reason else (True, text)
 
 
-def gold_sql(session: SparkSession, sql: str, cap: int = ROW_CAP) -> DataFrame:
-    """The result of one SELECT, at most ``cap`` rows of it."""
+def _query(session: SparkSession, sql: str) -> DataFrame:
     accepted, text = check_read_only(session, sql)
     if not accepted:
         raise Refused(text)
-    return session.sql(text).limit(cap)
+    try:
+        return session.sql(text)
+    except ParseException:
+        raise Refused("not a single SELECT statement") from None
+
+
+def _has_limit(query: DataFrame) -> bool:
+    return _class(query._jdf.queryExecution().analyzed()) == "GlobalLimit"
+
+
+def gold_sql(session: SparkSession, sql: str, cap: int | None = ROW_CAP) -> DataFrame:
+    """The result of one SELECT. A statement with a LIMIT of its own gives just
+    that; without one at most ``cap`` rows come (None: all)."""
+    query = _query(session, sql)
+    return query if cap is None or _has_limit(query) else query.limit(cap)
 
 
-def answer(session: SparkSession, sql: str, cap: int = ROW_CAP) -> dict:
-    """Columns, rows and row count; the cap bounds what reaches the driver."""
-    result = gold_sql(session, sql, cap)
-    rows = [row.asDict() for row in result.collect()]
-    return {"columns": result.columns, "rows": rows, "count": len(rows)}
+def answer(session: SparkSession, sql: str, cap: int = ROW_CAP, most: int = 10_000) -> dict:
+    """Columns, rows, row count and whether rows were left out: beyond ``cap``
+    when the statement has no LIMIT, beyond ``most`` when it has, as the rows
+    come to the driver."""
+    query = _query(session, sql)
+    bound = most if _has_limit(query) else cap
+    rows = [row.asDict() for row in query.limit(bound + 1).collect()]
+    return {"columns": query.columns, "rows": rows[:bound], "count": min(len(rows), bound),
+            "truncated": len(rows) > bound}
 
 
 def gold_catalog(spark: SparkSession) -> DataFrame:
@@ -120,5 +166,5 @@ def conversion_by_device() -> str:
 def low_stock_high_demand(stock: int = 10, demand: float = 2.0) -> str:
     return (
         "SELECT item_id, current_stock, demand_score FROM product_features "
-        f"WHERE current_stock < {int(stock)} AND demand_score > {float(demand)}"
+        f"WHERE current_stock < {int(stock)} AND demand_score > {float(demand)} ORDER BY item_id"
     )

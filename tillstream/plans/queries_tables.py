@@ -346,13 +346,13 @@ def _gold_tables(session: SparkSession, sf: str) -> dict[str, DataFrame]:
     }
 
 
-def _ask(spark: SparkSession, sf: str, text: str, cap: int = gs.ROW_CAP) -> DataFrame:
+def _ask(spark: SparkSession, sf: str, text: str, cap: int | None = None) -> DataFrame:
     return gs.gold_sql(gs.gold_session(spark, lambda s: _gold_tables(s, sf)), text, cap)
 
 
 @query("viewed_never_bought", """
     SELECT item_id, view_count, purchase_count FROM product_features
-    WHERE view_count > 15 AND purchase_count <= 12 ORDER BY item_id LIMIT 100""")
+    WHERE view_count > 15 AND purchase_count <= 12""")
 def viewed_never_bought(spark: SparkSession, sf: str) -> DataFrame:
     return _ask(spark, sf, gs.viewed_never_bought(15, 12))
 
@@ -407,4 +407,17 @@ def gold_sql_query(spark: SparkSession, sf: str) -> DataFrame:
 def gold_sql_capped(spark: SparkSession, sf: str) -> DataFrame:
     """A statement without a limit returns its first hundred rows."""
     return _ask(spark, sf, "SELECT user_id, item_id, interaction_count FROM user_item_interactions "
-                           "ORDER BY interaction_count DESC, user_id, item_id")
+                           "ORDER BY interaction_count DESC, user_id, item_id", gs.ROW_CAP)
+
+
+@query("gold_sql_own_limit", """
+    SELECT user_id, item_id, interaction_count FROM interactions
+    ORDER BY interaction_count DESC, user_id, item_id LIMIT 500""")
+def gold_sql_own_limit(spark: SparkSession, sf: str) -> DataFrame:
+    """A statement's own limit is kept, over Gold tables as they are stored."""
+    folder = scratch(spark, "gold")
+    for name, build in (("user_item_interactions", interactions), ("product_features", products)):
+        overwrite_table(build(spark, sf), f"{folder}/{name}")
+    session = gs.gold_session(spark, lambda s: gs.gold_tables(s, folder))
+    return gs.gold_sql(session, "SELECT user_id, item_id, interaction_count FROM user_item_interactions "
+                                "ORDER BY interaction_count DESC, user_id, item_id LIMIT 500")

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -48,42 +49,52 @@ def build(
     return builder.getOrCreate()
 
 
-_unset: dict[str, str] = {}  # stand-ins for settings the session does not carry
-_made: list[str] = []  # scratch paths handed out by this process
+_unset: dict[str, str] = {}  # stand-ins for settings a local session does not carry
+_scope: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)  # paths made in the scope of this thread
 
 
-def scratch(spark: SparkSession, label: str) -> str:
-    """A new, unused path under the shared folder in ``spark.checkpoint.dir``.
-
-    Only where that setting is missing (tests, a laptop) one temporary folder
-    of this machine is made instead.
-    """
+def _shared_folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``; only on a local master without that setting
+    (tests, a laptop) one temporary folder of this machine."""
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = _unset.setdefault("scratch", "") or tempfile.mkdtemp(prefix="tillstream-")
-        _unset["scratch"] = base
-    _made.append(f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}")
-    return _made[-1]
+    if base:
+        return base.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if "scratch" not in _unset:
+        _unset["scratch"] = tempfile.mkdtemp(prefix="tillstream-")
+    return _unset["scratch"]
+
+
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new, unused path under the shared folder."""
+    path = f"{_shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    made = _scope.get()
+    if made is not None:
+        made.append(path)
+    return path
 
 
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
-    """Delete on leaving what was put under scratch paths made inside. For jobs
-    whose results lie elsewhere; frames that still read scratch must not escape."""
-    before = len(_made)
+    """Delete on leaving what was put under scratch paths made inside, by this
+    thread or by threads that run in a copy of its context. For jobs whose
+    results lie elsewhere; frames that still read scratch must not escape."""
+    made: list[str] = []
+    token = _scope.set(made)
     try:
         yield
     finally:
+        _scope.reset(token)
         hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-        for path in _made[before:]:
+        for path in made:
             target = hadoop.Path(path)
             target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-        del _made[before:]
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Iterative ML cuts its lineage only when a checkpoint folder is set."""
     if not spark.conf.get("spark.checkpoint.dir", None) and "checkpoints" not in _unset:
-        _unset["checkpoints"] = scratch(spark, "rdd-checkpoints")
-        _made.remove(_unset["checkpoints"])  # outlives any scope
+        _unset["checkpoints"] = f"{_shared_folder(spark)}/rdd-checkpoints-{uuid.uuid4().hex[:12]}"  # outlives any scope
         spark.sparkContext.setCheckpointDir(_unset["checkpoints"])
