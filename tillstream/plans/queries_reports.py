@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import json
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..ml import price_model, recommender
 from ..operators import explore, monitoring, pricing, ranking, runs, serving, subsets
@@ -414,13 +417,16 @@ def pricing_dataset_csv(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(rows.withColumn("product_id", F.col("product_id").cast("bigint")), "avg_review_score")
 
 
-@query("pricing_dataset_gold", """
+_PRICING_GOLD = """
     SELECT item_id, current_price AS target_price, view_count, cart_count, purchase_count, unique_users,
            view_to_cart_rate, cart_to_purchase_rate, coalesce(current_stock, 100) AS current_stock,
            demand_score, stock_velocity, round(1e-9 + coalesce(avg_price, current_price), 6) AS avg_price,
            round(1e-9 + coalesce(price_stddev, 0), 6) AS price_stddev,
            coalesce(num_price_changes, 0) AS num_price_changes
-    FROM product_features WHERE current_price IS NOT NULL""")
+    FROM product_features WHERE current_price IS NOT NULL"""
+
+
+@query("pricing_dataset_gold", _PRICING_GOLD)
 def pricing_dataset_gold(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(pricing.pricing_dataset_gold(products(spark, sf)), "avg_price", "price_stddev")
 
@@ -486,29 +492,78 @@ def precomputed_recs(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-# --- models (no SQL twin: iterative fits) -----------------------------------------------------------
+# --- models: what a fit determines is compared, the fitted numbers as flags ---------------------------
+
+
+def _logged(runs: DataFrame, *metrics: str) -> DataFrame:
+    """What the runs of a search determine: names, settings, rows split, one
+    production run, and whether every metric is a number."""
+    value = {m: F.element_at("metrics", F.lit(m)) for m in ("train_count", "test_count", *metrics)}
+    usable = reduce(lambda a, b: a & b, [value[m].isNotNull() & ~F.isnan(value[m]) for m in metrics])
+    whole = Window.partitionBy("experiment")
+    return runs.select(
+        "run_name", "params",
+        (value["train_count"] + value["test_count"]).cast("bigint").alias("data_rows"),
+        F.sum(F.col("production").cast("bigint")).over(whole).alias("production_runs"),
+        (usable & (value["train_count"] > value["test_count"]) & (value["test_count"] > 0)).alias("usable"),
+    )
+
+
+def _grid_sql(grid: tuple, data: str) -> str:
+    rows = ", ".join(f"('run_{i}', '{json.dumps(p, sort_keys=True)}')" for i, p in enumerate(grid, start=1))
+    return (f"SELECT run_name, params, (SELECT count(*) FROM ({data})) AS data_rows, CAST(1 AS BIGINT) AS production_runs, "
+            f"TRUE AS usable FROM (VALUES {rows}) AS g(run_name, params)")
 
 
-@query("als_runs")
+@query("als_runs", _grid_sql(
+    recommender.GRID, "SELECT DISTINCT o_custkey, l_partkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey"))
 def als_runs(spark: SparkSession, sf: str) -> DataFrame:
-    """The first setting of the recommender grid on purchases, with its metrics."""
-    return recommender.als_grid(fx.als_input(spark, sf), num_runs=1)[1]
+    """The recommender grid on purchases."""
+    return _logged(recommender.als_grid(fx.als_input(spark, sf))[1], "rmse", "ndcg_at_10", "map_at_10")
+
 
+def _lists(shift_user: int, shift_item: int) -> str:
+    return f"""
+    SELECT user_id + {shift_user} AS user_id, CAST(position AS INTEGER) AS position, TRUE AS usable
+    FROM (SELECT DISTINCT user_id FROM interactions),
+         (SELECT unnest(range(least(10, (SELECT count(DISTINCT item_id) FROM interactions)))) AS position)"""
 
-@query("recommend_top_n")
+
+@query("recommend_top_n", _lists(0, 0))
 def recommend_top_n(spark: SparkSession, sf: str) -> DataFrame:
+    """Places of the lists of the clicking users; the item is known, the score a number."""
     rows = interactions(spark, sf)
-    model = recommender.fit_als(rows)
-    return recommender.recommend_top_n(model, rows.select("user_id"))
+    found = recommender.recommend_top_n(recommender.fit_als(rows), rows.select("user_id"))
+    items = rows.select("item_id").distinct().withColumn("known", F.lit(True))
+    usable = F.coalesce("known", F.lit(False)) & ~F.isnan("score")
+    return found.join(items, "item_id", "left").select("user_id", "position", usable.alias("usable"))
+
+
+_USERS_FROM, _ITEMS_FROM = 5_000_000_000, 6_000_000_000
+
+
+@query("recommend_wide_ids", _lists(_USERS_FROM, _ITEMS_FROM))
+def recommend_wide_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with ids beyond 32 bits: users and items come back as they were."""
+    rows = interactions(spark, sf).select(
+        (F.col("user_id") + _USERS_FROM).alias("user_id"), (F.col("item_id") + _ITEMS_FROM).alias("item_id"), "rating")
+    data, indexes = recommender.with_int_ids(rows)
+    found = recommender.recommend_top_n(recommender.fit_als(data), rows.select("user_id"), 10, indexes)
+    items = rows.select("item_id").distinct().withColumn("known", F.lit(True))
+    usable = F.coalesce("known", F.lit(False)) & ~F.isnan("score")
+    return found.join(items, "item_id", "left").select("user_id", "position", usable.alias("usable"))
 
 
-@query("gbt_runs")
+@query("gbt_runs", _grid_sql(price_model.GRID, _PRICING))
 def gbt_runs(spark: SparkSession, sf: str) -> DataFrame:
-    """The first setting of the price grid on sold items, with its metrics."""
-    return price_model.gbt_grid(_pricing(spark, sf), num_runs=1)[1]
+    """The price grid on sold items."""
+    return _logged(price_model.gbt_grid(_pricing(spark, sf))[1], "r2", "rmse", "num_features")
 
 
-@query("predict_price")
+@query("predict_price", f"""
+    SELECT item_id, target_price, TRUE AS usable FROM ({_PRICING_GOLD})""")
 def predict_price(spark: SparkSession, sf: str) -> DataFrame:
+    """Prices of the Gold products by the grid's first setting: a positive number each."""
     rows = pricing.pricing_dataset_gold(products(spark, sf))
-    return price_model.predict_price(price_model.fit_gbt(rows, maxIter=10, maxDepth=3), rows)
+    found = price_model.predict_price(price_model.fit_gbt(rows, **price_model.GRID[0]), rows)
+    return found.select("item_id", "target_price", ((F.col("prediction") > 0) & ~F.isnan("prediction")).alias("usable"))
