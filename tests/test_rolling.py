@@ -111,7 +111,7 @@ def test_stream_equals_batch_however_files_arrive(spark, tmp_path, parts):
     for i in range(0, len(EVENTS), size):
         drop_file(spark, folder, EVENTS[i:i + size])
     run(spark, folder, path, str(tmp_path / "ckpt"))
-    assert rows(read_table(spark, path), "updated_at", "window_date") == rows(batch_twin(spark, EVENTS))
+    assert rows(read_table(spark, path), "updated_at", "window_hour") == rows(batch_twin(spark, EVENTS))
 
 
 def test_restart_goes_on_from_the_checkpoint(spark, tmp_path):
@@ -121,7 +121,7 @@ def test_restart_goes_on_from_the_checkpoint(spark, tmp_path):
     drop_file(spark, folder, EVENTS[12:])
     run(spark, folder, path, checkpoint)
     run(spark, folder, path, checkpoint)  # nothing new
-    assert rows(read_table(spark, path), "updated_at", "window_date") == rows(batch_twin(spark, EVENTS))
+    assert rows(read_table(spark, path), "updated_at", "window_hour") == rows(batch_twin(spark, EVENTS))
 
 
 def test_late_rows_inside_the_watermark_count_and_older_ones_do_not(spark, tmp_path):
@@ -143,7 +143,7 @@ def test_append_mode_emits_closed_windows_once(spark, tmp_path, exact):
         drop_file(spark, folder, [e])
         run(spark, folder, path, checkpoint, mode="append", exact=exact)
     closed = batch_twin(spark, events).filter(f"window_end <= timestamp'{at(390)}'")
-    assert rows(read_table(spark, path), "updated_at", "window_date") == rows(closed)
+    assert rows(read_table(spark, path), "updated_at", "window_hour") == rows(closed)
 
 
 def test_exact_users_in_many_files(spark, tmp_path):
@@ -152,7 +152,7 @@ def test_exact_users_in_many_files(spark, tmp_path):
         drop_file(spark, folder, EVENTS[i:i + 5])
     drop_file(spark, folder, [record("view", 1, 9, at(400))])
     run(spark, folder, path, str(tmp_path / "ckpt"), mode="append", exact=True)
-    assert rows(read_table(spark, path), "updated_at", "window_date") == rows(batch_twin(spark, EVENTS))
+    assert rows(read_table(spark, path), "updated_at", "window_hour") == rows(batch_twin(spark, EVENTS))
 
 
 def test_exact_users_need_append_mode(spark, tmp_path):
@@ -239,3 +239,19 @@ def test_a_stream_of_nothing_leaves_no_table(spark, tmp_path):
     folder.mkdir()
     run(spark, str(folder), path, str(tmp_path / "ckpt"))
     assert not table_exists(spark, path)
+
+
+def test_a_trigger_rewrites_only_the_hours_it_touches(spark, tmp_path):
+    import glob
+
+    path = str(tmp_path / "out")
+    merge = rs.merge_batch(path)
+    rows_of = lambda *hours: spark.createDataFrame(
+        [(1, f"2024-01-02 {h:02d}:10:00", 5) for h in hours], "item_id bigint, w string, n int"
+    ).selectExpr("item_id", "cast(w as timestamp) as window_start", "n")
+    merge(rows_of(1, 2, 3), 0)
+    before = {h: glob.glob(f"{path}/window_hour=2024-01-02-{h}/part-*") for h in ("01", "02", "03")}
+    merge(rows_of(2), 1)
+    after = {h: glob.glob(f"{path}/window_hour=2024-01-02-{h}/part-*") for h in before}
+    assert after["01"] == before["01"] and after["03"] == before["03"] and after["02"] != before["02"]
+    assert read_table(spark, path).count() == 3

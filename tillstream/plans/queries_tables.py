@@ -15,7 +15,7 @@ from ..sources.tables import (
 )
 from ..streaming import live
 from ..streaming.bronze import bronze_stream, start_append
-from ..streaming.rolling import KEYS, click_records as parsed_records, start_rolling
+from ..streaming.rolling import KEYS, click_records as parsed_records, hour_of, start_rolling
 from . import fixtures as fx, gold_sql as gs
 from .nightly import CLICK_KEY, nightly
 from .registry import plain_times, query, rounded
@@ -219,9 +219,9 @@ def merge_upsert_query(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch(spark, "upsert")
     rows = fx.clicks(spark, sf)
     for part in (rows.filter("event_type = 'view'"), rows):
-        windows = rolling_item_ctr(part).withColumn("window_date", F.to_date("window_start"))
-        merge_upsert(windows, path, KEYS, "window_date")
-    return plain_times(read_table(spark, path).drop("window_date"))
+        windows = rolling_item_ctr(part).withColumn("window_hour", hour_of("window_start"))
+        merge_upsert(windows, path, KEYS, "window_hour")
+    return plain_times(read_table(spark, path).drop("window_hour"))
 
 
 @query("write_report", """
@@ -270,7 +270,7 @@ def _rolling_stream(spark: SparkSession, sf: str, mode: str, exact: bool) -> Dat
     start_rolling(
         _click_stream(spark, sf), path, scratch(spark, "ckpt"), mode, every=None, exact=exact
     ).awaitTermination()
-    return plain_times(read_table(spark, path).drop("window_date", "updated_at"))
+    return plain_times(read_table(spark, path).drop("window_hour", "updated_at"))
 
 
 @query("rolling_item_ctr_stream", """

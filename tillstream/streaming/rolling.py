@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.rolling import rolling_item_ctr
@@ -14,6 +14,11 @@ from .bronze import trigger
 KEYS = ("item_id", "window_start")
 
 
+def hour_of(start: str) -> Column:
+    """Hour in which a window begins, as the name of its partition."""
+    return F.date_format(start, "yyyy-MM-dd-HH")
+
+
 def click_records(records: DataFrame) -> DataFrame:
     """Parsed clicks of a topic scan with their arrival time ``kafka_ts``."""
     text = records.select(
@@ -30,14 +35,15 @@ def rolling_stream(clicks: DataFrame, ts_col: str = "kafka_ts", late: str = "10
 
 
 def merge_batch(path: str):
-    """foreachBatch function: stamp the changed windows and upsert them by day.
+    """foreachBatch function: stamp the changed windows and upsert them by hour, so
+    that a trigger rewrites the hours it touches and not the day so far.
     A replayed batch writes the same rows again, so the table does not change."""
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumn("updated_at", F.current_timestamp()).withColumn(
-            "window_date", F.to_date("window_start")
+            "window_hour", hour_of("window_start")
         )
-        merge_upsert(rows, path, KEYS, "window_date")
+        merge_upsert(rows, path, KEYS, "window_hour")
 
     return merge
 
