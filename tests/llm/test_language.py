@@ -1,0 +1,55 @@
+import zlib
+
+from pyspark.sql import functions as F
+
+from tillstream.llm import language
+from tillstream.llm.queries import QUERIES
+
+SCHEMA = "doc_id bigint, text string, lang string, score double, lang_pred string"
+
+
+def test_held_out_accuracy(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", F.col("lang").alias("truth"))
+    found = QUERIES["op3_language_id"](spark, sf).join(docs, "doc_id").collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in found)
+    own = [r for r in found if r.held_out]
+    assert sum(r.lang_pred == r.truth for r in own) >= 0.97 * len(own)
+    assert all(0 <= r.score <= 1 for r in found) and len(found) == docs.count()
+
+
+def rows(spark):
+    return spark.createDataFrame([
+        (1, "the cat and the dog and the house", "en", 1.0, "zz"), (2, "der Hund und die Katze und das Haus", "de", 1.0, "zz"),
+        (3, None, "en", 1.0, "zz"), (4, "", "de", 1.0, "zz"), (5, "12 !! ..", "en", 1.0, "zz"), (None, "the house", None, None, None),
+        (6, "die Hunde", None, None, None), (7, "the " * 50_000, "en", 0.0, ""), (7, "the " * 50_000, "en", 0.0, ""), (8, "日本", None, None, None),
+    ], SCHEMA)
+
+
+def test_edges(spark):
+    docs = rows(spark)
+    model = language.fit(docs, min_times=1)
+    found = language.with_language(docs, model)
+    assert found.columns == ["doc_id", "text", "lang", "lang_pred", "score"]
+    got = [(r.doc_id, r.lang_pred) for r in found.collect()]
+    assert sorted(got, key=repr) == sorted([(1, "en"), (2, "de"), (3, "und"), (4, "und"), (5, "und"), (None, "en"), (6, "de"),
+                                            (7, "en"), (7, "en"), (8, "en")], key=repr)
+    assert language.predict(docs.filter("doc_id = 3"), model).first().score == 0.0
+
+
+def test_backs_off_to_shorter_grams(spark):
+    model = language.fit(rows(spark), min_times=1)
+    assert "katzenhaus" not in model["known"][0]
+    assert language.Scorer(model)("Katzenhaus")[0] == "de"
+
+
+def test_nothing_learned_and_empty_table(spark):
+    empty = rows(spark).limit(0)
+    model = language.fit(empty)
+    assert language.predict(empty, model).collect() == []
+    assert {r.lang_pred for r in language.predict(rows(spark), model).collect()} == {"und"}
+
+
+def test_sample_is_bounded(spark):
+    many = spark.range(5_000).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"), (F.col("id") % 10 < 9).cast("string").alias("lang"))
+    counts = {r.lang: r["count"] for r in language.sampled(many, 200, "doc_id", "text", "lang").groupBy("lang").count().collect()}
+    assert counts == {"true": 200, "false": 200}
