@@ -15,6 +15,7 @@ from .common import map_texts, written
 
 _WORD = re.compile(r"[^\W\d_]+")
 _COUNTS = "lang string, n int, gram string, times bigint"
+_SHARED = 0.02        # weight of the mean over all languages in an entry's frequency
 LONGEST = 5           # characters of the longest n-gram
 UNDETERMINED = "und"
 
@@ -92,10 +93,14 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
         own[column[lang]] = count
     totals = {n: np.sum(list(table.values()), axis=0, dtype=np.float64) if table else np.zeros(len(langs)) for n, table in times.items()}
     order = sorted(range(len(langs)), key=lambda i: (-totals[0][i], langs[i]))
-    known = {
-        n: {gram: np.log((own[order] + 0.5) / (totals[n][order] + 0.5 * len(table))).astype(np.float32) for gram, own in table.items()}
-        for n, table in times.items()
-    }
+    known: dict[int, dict[str, np.ndarray]] = {}
+    for n, table in times.items():
+        known[n] = {}
+        for gram, own in table.items():
+            share = own[order] / np.maximum(totals[n][order], 1)
+            # A language that lacks the entry gets a part of its mean share, so
+            # that one with little text does not take what it never saw for likely.
+            known[n][gram] = np.log((1 - _SHARED) * share + _SHARED * share.mean()).astype(np.float32)
     return {"langs": [langs[i] for i in order], "known": known}
 
 
