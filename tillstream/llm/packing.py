@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import map_texts, written
-from .tokens import Memo, groups
+from .tokens import groups, memo
 
 _PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids binary, part int, place bigint"
 
@@ -26,10 +26,10 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, room: int = 2048,
     """
 
     def rows(pairs):
-        memo, counts, part = Memo(tokenizer, "byte"), Counter(), TaskContext.get().partitionId()
+        encoder, counts, part = memo(tokenizer, "byte"), Counter(), TaskContext.get().partitionId()
         end = int(end_id).to_bytes(4, "little")
         for group in groups(pairs):
-            for (doc, _), ids in zip(group, memo.encode([t or "" for _, t in group])):
+            for (doc, _), ids in zip(group, encoder.encode([t or "" for _, t in group])):
                 ids += end
                 total = len(ids) // 4
                 start, piece, length = 0, 0, total % room or room

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .common import map_texts, written
-from .tokens import Memo, groups
+from .tokens import groups, memo
 
 SCALE = 20                      # frequencies add up to 2^SCALE
 _LOW = 1 << 31                  # a state lies in [2^31, 2^63)
@@ -139,24 +139,32 @@ class Coder:
 # --- files -----------------------------------------------------------------------
 
 
-def _tokenised(docs: DataFrame, tokenizer: str, kind: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
+def _width(tokenizer: str, end_id: int) -> str:
+    """The smallest integers that hold every id, for the steps before coding."""
+    from tokenizers import Tokenizer
+
+    ids = [end_id, *Tokenizer.from_file(tokenizer).get_vocab().values()]
+    return "<u2" if max(ids) < 1 << 16 else "<u4"
+
+
+def _tokenised(docs: DataFrame, tokenizer: str, kind: str, end_id: int, width: str, id_col: str, text_col: str) -> DataFrame:
     def rows(pairs):
-        memo, end = Memo(tokenizer, kind), int(end_id).to_bytes(4, "little")
+        encoder, end = memo(tokenizer, kind), np.array([end_id], width).tobytes()
         for group in groups(pairs):
-            for (doc, _), ids in zip(group, memo.encode([t or "" for _, t in group])):
-                yield doc, ids + end
+            for (doc, _), ids in zip(group, encoder.encode([t or "" for _, t in group])):
+                yield doc, np.frombuffer(ids, "<u4").astype(width).tobytes() + end
 
     return map_texts(docs, rows, "doc_id bigint, ids binary", id_col, text_col, flush=1_000)
 
 
-def _counts(tokens: DataFrame) -> dict[int, int]:
+def _counts(tokens: DataFrame, width: str) -> dict[int, int]:
     """Occurrences of each id; as many rows as the vocabulary has."""
 
     def rows(batches):
         total = np.zeros(0, np.int64)
         for batch in batches:
             for ids in batch.column("ids").to_pylist():
-                seen = np.bincount(np.frombuffer(ids, "<u4"))
+                seen = np.bincount(np.frombuffer(ids, width))
                 if len(seen) > len(total):
                     total = np.concatenate([total, np.zeros(len(seen) - len(total), np.int64)])
                 total[: len(seen)] += seen
@@ -178,8 +186,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, kind: str = "w
     has at most as many rows as the vocabulary; nothing else is.
     """
     spark = docs.sparkSession
-    tokens = written(_tokenised(docs, tokenizer, kind, end_id, id_col, text_col), "token-ids")
-    ids, freqs = scaled(_counts(tokens))
+    width = _width(tokenizer, end_id)
+    tokens = written(_tokenised(docs, tokenizer, kind, end_id, width, id_col, text_col), "token-ids")
+    ids, freqs = scaled(_counts(tokens, width))
     spark.createDataFrame([(ids.tolist(), freqs.tolist())], "ids array<bigint>, freqs array<bigint>").coalesce(1).write.parquet(f"{path}/table")
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("ids")]
     ordered = tokens.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -196,7 +205,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, kind: str = "w
         for batch in batches:
             for doc, raw in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist()):
                 docs_in.append(doc)
-                parts.append(np.frombuffer(raw, "<u4").astype(np.int64))
+                parts.append(np.frombuffer(raw, width).astype(np.int64))
                 size += len(parts[-1])
                 if size >= BLOCK:
                     yield block()

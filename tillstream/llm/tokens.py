@@ -10,62 +10,182 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from functools import lru_cache
+from itertools import accumulate
+
+import numpy as np
 
 _TWO_SPACES = re.compile(r"\s\s")
 _WORD_START = re.compile(r"(?<=\S)(?= \S)")
 _SEPARATORS = re.compile("[\x1c-\x1f]")  # white space for str.split, signs for the tokenizer
+_WORD_AND_SIGNS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([,.;:?)]+)")  # letters and signs are never one token
+_WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]{1,200}")
+_LOWER = re.compile("[a-zß-öø-ÿ]{1,200}")
+_BEYOND_LATIN = re.compile("[^\x00-\xff]")
 _LONG = 64  # longer chunks are not worth remembering
+_AT_ONCE = 4_000
+
+
+class Recent:
+    """Ids by chunk, of the chunks met last: when ``limit`` new ones have come,
+    those not met since the time before are forgotten."""
+
+    def __init__(self, limit: int):
+        self._limit = limit
+        self._now: dict[str, bytes] = {}
+        self._before: dict[str, bytes] = {}
+
+    def get(self, chunks: list[str]) -> tuple[list[bytes | None], list[int]]:
+        """Ids of each chunk, and where they are missing."""
+        found = list(map(self._now.get, chunks))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        if missing and self._before:
+            for i in missing:
+                if (ids := self._before.get(chunks[i])) is not None:
+                    found[i] = self._now[chunks[i]] = ids
+            missing = [i for i in missing if found[i] is None]
+        return found, missing
+
+    def add(self, ids: dict[str, bytes]) -> None:
+        self._now.update((c, i) for c, i in ids.items() if len(c) <= _LONG)
+        if len(self._now) > self._limit:
+            self._before, self._now = self._now, {}
 
 
 class Memo:
     """``encode(texts)`` gives each text's ids as little-endian 32-bit integers.
 
     ``kind`` is ``byte`` for byte-level vocabularies, whose words keep the space
-    before them, or ``word`` for those that drop white space. At most ``limit``
-    chunks are remembered; then the memo starts anew.
+    before them, or ``word`` for those that drop white space. About twice
+    ``limit`` chunks are remembered.
     """
 
-    def __init__(self, path: str, kind: str, limit: int = 400_000):
+    def __init__(self, path: str, kind: str, limit: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._chunks = {"byte": self._byte_chunks, "word": self._word_chunks}[kind]
-        self._limit = limit
-        self._ids: dict[str, bytes] = {"": b""}
+        self._byte = kind == "byte"
+        # The same vocabulary for words of letters alone, one a line: nothing to
+        # normalise and no pattern to match. A token that opens (byte) or ends
+        # (word) a word tells where the next begins.
+        self._lines = Tokenizer.from_file(path)
+        self._lines.normalizer = normalizers.Sequence([])
+        self._lines.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.CharDelimiterSplit("\n"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self._tokenizer.get_vocab()
+        self._edge = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._edge[[i for t, i in vocabulary.items() if (t.startswith("Ġ") if self._byte else t.endswith("</w>"))]] = True
+        # Between two chunks: text that the vocabulary makes one token of, and that token.
+        self._between = "\n" if self._byte else " ! "
+        self._plain = re.compile(r" ?[^\s!]{1,200}" if self._byte else r"[^\s!]{1,200}")
+        (self._mark,) = self._tokenizer.encode(self._between, add_special_tokens=False).ids
+        self._chunks = Recent(limit)
+        self._spaced = Recent(limit)  # byte kind: by word, for the word with the space before it
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self._chunks(t) for t in texts]
-        if len(self._ids) > self._limit:
-            self._ids = {"": b""}
-        known = self._ids
-        new = list({c for chunks in cut for c in chunks if c not in known})
-        for chunk, coded in zip(new, self._tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            known[chunk] = array("I", coded.ids).tobytes()
-        coded = [b"".join(map(known.__getitem__, chunks)) for chunks in cut]
-        for chunk in new:
-            if len(chunk) > _LONG:
-                del known[chunk]
-        return coded
+        return self._byte_level(texts) if self._byte else self._word_level(texts)
 
-    @staticmethod
-    def _byte_chunks(text: str) -> list[str]:
+    def _byte_level(self, texts: list[str]) -> list[bytes]:
         # A space before a sign that is no space opens a word, and so does a
         # single line break on either side. Runs of white space are left alone.
-        if _TWO_SPACES.search(text):
-            return _WORD_START.split(text)
-        chunks: list[str] = []
-        for n, line in enumerate(text.split("\n")):
-            if n:
-                chunks.append("\n")
-            first, *rest = line.split(" ")
-            chunks.append(first)
-            chunks += [" " + word for word in rest]
-        return chunks
-
-    @staticmethod
-    def _word_chunks(text: str) -> list[str]:
-        return [text] if _SEPARATORS.search(text) else text.split()
+        firsts, rest, shapes = [], [], []
+        for text in texts:
+            sizes = None if _TWO_SPACES.search(text) else []
+            if sizes is not None:
+                for line in text.split("\n"):
+                    words = line.split(" ")
+                    firsts.append(words[0])
+                    rest += words[1:]
+                    sizes.append(len(words) - 1)
+            shapes.append(sizes)
+        (line_break,) = self._look_up(["\n"], self._chunks, "")
+        firsts = iter(self._look_up(firsts, self._chunks, ""))
+        rest = self._look_up(rest, self._spaced, " ")
+        at, out = 0, []
+        for text, sizes in zip(texts, shapes):
+            if sizes is None:
+                out.append(b"".join(self._look_up(_WORD_START.split(text), self._chunks, "")))
+                continue
+            parts = []
+            for size in sizes:
+                parts += [line_break, next(firsts)]
+                parts += rest[at : at + size]
+                at += size
+            out.append(b"".join(parts[1:]))
+        return out
+
+    def _word_level(self, texts: list[str]) -> list[bytes]:
+        chunks, sizes = [], []
+        for text in texts:
+            if not _BEYOND_LATIN.search(text):
+                text = text.lower()  # sign by sign, as the tokenizer does; fewer words to tell apart
+            own = [text] if _SEPARATORS.search(text) else text.split()
+            chunks += own
+            sizes.append(len(own))
+        coded, ends = self._look_up(chunks, self._chunks, ""), list(accumulate(sizes, initial=0))
+        return [b"".join(coded[a:b]) for a, b in zip(ends, ends[1:])]
+
+    def _look_up(self, chunks: list[str], known: Recent, before: str) -> list[bytes]:
+        """Ids of ``before`` and each chunk. Of a new word the signs that follow
+        it are cut off first, as the word itself may be known."""
+        found, missing = known.get(chunks)
+        if not missing:
+            return found
+        new = {chunks[i] for i in missing}
+        signed = {c: m.groups() for c in new if (m := _WORD_AND_SIGNS.fullmatch(c))}
+        words = list(({w for w, _ in signed.values()} | new) - signed.keys())
+        coded = {w: ids for w, ids in zip(words, known.get(words)[0]) if ids is not None}
+        coded |= self._tokenised([w for w in words if w not in coded], before)
+        signs = list({s for _, s in signed.values()})
+        signs = dict(zip(signs, self._look_up(signs, self._chunks, ""))) if signs else {}
+        coded |= {c: coded[w] + signs[s] for c, (w, s) in signed.items()}
+        known.add(coded)
+        for i in missing:
+            found[i] = coded[chunks[i]]
+        return found
+
+    def _tokenised(self, new: list[str], before: str) -> dict[str, bytes]:
+        """Ids of ``before`` and each chunk, by the tokenizer: words line by line,
+        other plain chunks in one text with marks between, the rest one by one."""
+        coded: dict[str, bytes] = {}
+        if before or not self._byte:
+            pattern = _WORD if self._byte else _LOWER
+            for at in range(0, len(words := [c for c in new if pattern.fullmatch(c)]), _AT_ONCE):
+                coded |= self._by_line(words[at : at + _AT_ONCE], before)
+            new = [c for c in new if c not in coded] if coded else new
+        plain = [c for c in new if self._plain.fullmatch(before + c)]
+        single = [c for c in new if not self._plain.fullmatch(before + c)] if len(plain) < len(new) else []
+        for at in range(0, len(plain), _AT_ONCE):
+            some = plain[at : at + _AT_ONCE]
+            text = self._between.join([before + c for c in some])
+            ids = array("I", self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids)
+            ends = [i for i, one in enumerate(ids) if one == self._mark]
+            if len(ends) != len(some) - 1:
+                single += some
+                continue
+            raw = ids.tobytes()
+            coded.update((c, raw[4 * a : 4 * b]) for c, a, b in zip(some, [0, *(e + 1 for e in ends)], [*ends, len(ids)]))
+        for c, e in zip(single, single and self._tokenizer.encode_batch_fast([before + c for c in single], add_special_tokens=False)):
+            coded[c] = array("I", e.ids).tobytes()
+        return coded
+
+
+    def _by_line(self, words: list[str], before: str) -> dict[str, bytes]:
+        text = "\n".join([before + w for w in words])
+        ids = np.array(self._lines.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        edges = np.flatnonzero(self._edge[ids])
+        if len(edges) != len(words):
+            return {}
+        cuts = [*(4 * edges).tolist(), 4 * len(ids)] if self._byte else [0, *(4 * edges + 4).tolist()]
+        raw = ids.tobytes()
+        return {w: raw[a:b] for w, a, b in zip(words, cuts, cuts[1:])}
+
+
+@lru_cache(maxsize=4)
+def memo(path: str, kind: str) -> Memo:
+    """The memo of this process, which Spark keeps for the tasks that follow."""
+    return Memo(path, kind)
 
 
 def groups(pairs, texts: int = 128, characters: int = 1 << 20):
