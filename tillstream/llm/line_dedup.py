@@ -7,7 +7,7 @@ from hashlib import md5
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import map_texts
+from .common import map_texts, written
 
 SEPARATORS = {"line": "\n", "paragraph": "\n\n"}
 _SPACE = re.compile("[ \t\x0b\f\r\n]+")
@@ -46,8 +46,8 @@ def repeated_units(docs: DataFrame, unit: str = "line", min_words: int = 5,
     of fewer than ``min_words`` words are too common to count as copies and stay.
     Rows repeated with the same doc_id rank by their offsets and, where all is
     equal, count as one occurrence, so both stay. Null and empty texts have no
-    units. First occurrences combine before the shuffle; the join back to a hot
-    digest is split by AQE.
+    units. First occurrences combine before the shuffle and are written; the join
+    back to a hot digest is one that AQE splits.
     """
     found = units(docs, unit, id_col, text_col).filter(F.col("n_words") >= min_words)
     rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "unit", "start")
@@ -55,6 +55,7 @@ def repeated_units(docs: DataFrame, unit: str = "line", min_words: int = 5,
         found.groupBy("digest").agg(F.min(rank).alias("first"), F.max(rank).alias("latest"))
         .filter("first < latest").select("digest", "first")
     )
+    first = written(first, "first-units")  # read back, it has no partitioning the join would keep: AQE may split a hot digest
     return found.join(first, "digest").filter(rank > F.col("first")).select(
         "doc_id", "unit", "start", "length",
         F.col("first.doc_id").alias("first_doc_id"), F.col("first.unit").alias("first_unit"),
