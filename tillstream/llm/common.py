@@ -14,6 +14,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+ARROW_ROWS = 2_000  # rows of a batch: texts are long, and a batch exists several times over on its way
+
+
+def long_rows(df: DataFrame) -> DataFrame:
+    """``df``, in a session whose Arrow batches hold few rows. A setting of the
+    user's own stays."""
+    setting, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
+    if int(conf.get(setting)) == 10_000:
+        conf.set(setting, str(ARROW_ROWS))
+    return df
+
+
 def once(value: Column) -> Column:
     """``value`` as the output of a generator. Filters on it are then not pushed
     below, where they would compute the expression a second time."""
@@ -77,7 +89,7 @@ def map_texts(docs: DataFrame, rows, schema: str, id_col: str = "doc_id", text_c
     """Run ``rows(pairs)`` over each task's (id, text) pairs, a null text as
     None; it yields tuples of ``schema``. Only the two columns leave the scan,
     and no more than ``flush`` result rows and one Arrow batch are held."""
-    typed = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
+    typed = long_rows(docs).select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
     target = to_arrow_schema(_parse_datatype_string(schema))
 
     def batch_of(part: list) -> pa.RecordBatch:

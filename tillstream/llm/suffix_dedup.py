@@ -16,14 +16,14 @@ Sorting every suffix of a corpus would move each text a hundred times. Instead
 
 from __future__ import annotations
 
-import hashlib
+
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import written
+from .common import long_rows, written
 
 LENGTH = 100                      # bytes of a string that counts as repeated
 ANCHOR = 20                       # bytes of an anchor
@@ -35,7 +35,8 @@ _BASE = 0x9E3779B97F4A7C15
 _GROUP = 50_000                   # units of one anchor held at once
 _AT_ONCE = 1 << 21                # bytes sorted together, at least one anchor
 
-_UNITS = "h bigint, u bigint, sections bigint, doc bigint, pos bigint"
+_UNITS = "h bigint, u bigint, sections bigint, doc bigint, pos bigint, done boolean"
+_BATCH = 200_000                  # units looked through for copies before they are shuffled
 _FOUND = "doc bigint, alt int, start bigint, n int, h bigint"
 
 
@@ -115,9 +116,25 @@ def _pack(alt, start, distance, n):
     return (alt << 48) | (start << 16) | (distance << 8) | n
 
 
+def _looked_through(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    """The units of some texts. Copies of a unit among them that are not its
+    first are ``done``: they are covered, and need not meet at the anchor. They
+    go on under a key of their own, so that a common passage costs its anchors
+    one unit per batch."""
+    h, u, sections, doc, pos = (np.concatenate(c) for c in zip(*parts))
+    order = np.lexsort((pos, doc, u, h))
+    edges = _runs(h[order], u[order])
+    first = np.empty(len(h), np.int64)
+    first[order] = np.repeat(order[edges[:-1]], np.diff(edges))
+    done = (doc != doc[first]) | (pos != pos[first])
+    spread = _mix(doc.astype(np.uint64) + pos.astype(np.uint64) * np.uint64(_BASE)).view(np.int64)
+    columns = [np.where(done, spread, h), u, sections, doc, pos, done]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h", "u", "sections", "doc", "pos", "done"])
+
+
 def _units(docs: DataFrame) -> DataFrame:
     def rows(batches):
-        hasher, names = Hasher(), ["h", "u", "sections", "doc", "pos"]
+        hasher = Hasher()
         for batch in batches:
             parts, size = [], 0
             for doc, alt, text in zip(*(batch.column(c).to_pylist() for c in ("doc", "alt", "text"))):
@@ -127,11 +144,11 @@ def _units(docs: DataFrame) -> DataFrame:
                 parts.append((h.view(np.int64), u.view(np.int64), sections.view(np.int64),
                               np.full(len(h), doc), _pack(alt, start, distance, n)))
                 size += len(h)
-                if size > 200_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)], names=names)
+                if size > _BATCH:
+                    yield _looked_through(parts)
                     parts, size = [], 0
             if parts:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)], names=names)
+                yield _looked_through(parts)
 
     return docs.select("doc", "alt", "text").mapInArrow(rows, _UNITS)
 
@@ -147,17 +164,17 @@ def _runs(*columns: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.flatnonzero(new) + 1, [len(columns[0])]])
 
 
-def _resolve(h, u, sections, doc, pos) -> list[pa.Array]:
+def _resolve(h, u, sections, doc, pos, done) -> list[pa.Array]:
     """Covered units (h null) and starts to be compared (h set) of whole anchors."""
-    order = np.lexsort((pos, doc, u, h))
-    h, u, sections, doc, pos = (c[order] for c in (h, u, sections, doc, pos))
-    edges = _runs(h, u)
+    order = np.lexsort((pos, doc, u, h, done))
+    h, u, sections, doc, pos, done = (c[order] for c in (h, u, sections, doc, pos, done))
+    edges = _runs(done, h, u)
     first = np.repeat(edges[:-1], np.diff(edges))
-    covered = (doc != doc[first]) | (pos != pos[first])
+    covered = done | (doc != doc[first]) | (pos != pos[first])
     start, distance, n = (pos >> 16) & 0xFFFFFFFF, (pos >> 8) & 0xFF, pos & 0xFF
 
-    reps = edges[:-1]
-    groups = _runs(h[reps])
+    reps = edges[:-1][~done[edges[:-1]]]
+    groups = _runs(h[reps]) if len(reps) else np.zeros(1, np.int64)
     several = np.repeat(np.diff(groups), np.diff(groups)) > 1
     reps = reps[several]
     low, high = np.full(len(reps), 255), np.full(len(reps), -1)  # distances to be compared
@@ -187,8 +204,8 @@ def _resolve(h, u, sections, doc, pos) -> list[pa.Array]:
     ]
 
 
-def _groups(batches, names: list[str], key: str, at_most: int | None = None):
-    """Columns of whole runs of ``key`` from sorted batches, several runs at a
+def _groups(batches, key: str, at_most: int | None = None, at_least: int = 1):
+    """Columns of whole runs of ``key`` from sorted batches, ``at_least`` rows at a
     time; a run beyond ``at_most`` rows comes in parts."""
     rest: pa.Table | None = None
     for batch in batches:
@@ -196,6 +213,9 @@ def _groups(batches, names: list[str], key: str, at_most: int | None = None):
             continue
         now = pa.Table.from_batches([batch])
         now = now if rest is None else pa.concat_tables([rest, now])
+        if now.num_rows < at_least:
+            rest = now
+            continue
         keys = now[key].to_numpy()
         new = np.flatnonzero(keys[1:] != keys[:-1])
         cut = int(new[-1]) + 1 if len(new) else 0
@@ -208,14 +228,21 @@ def _groups(batches, names: list[str], key: str, at_most: int | None = None):
         yield rest
 
 
+def _by_anchor(rows: DataFrame) -> DataFrame:
+    """Rows of an anchor together, in the session's number of partitions: few
+    bytes take long to sort here, so partitions are not to be merged by size."""
+    width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(width, "h").sortWithinPartitions("h")
+
+
 def _found(units: DataFrame) -> DataFrame:
     def rows(batches):
-        for part in _groups(batches, ["h", "u", "sections", "doc", "pos"], "h", _GROUP):
-            columns = _resolve(*(part[c].to_numpy() for c in ("h", "u", "sections", "doc", "pos")))
+        for part in _groups(batches, "h", _GROUP, min(_GROUP, 20_000)):
+            columns = _resolve(*(part[c].to_numpy() for c in ("h", "u", "sections", "doc", "pos", "done")))
             if len(columns[0]):
                 yield pa.RecordBatch.from_arrays(columns, names=["doc", "alt", "start", "n", "h"])
 
-    return units.repartition("h").sortWithinPartitions("h").mapInArrow(rows, _FOUND)
+    return _by_anchor(units).mapInArrow(rows, _FOUND)
 
 
 # --- deep-shallow sort -----------------------------------------------------------
@@ -319,7 +346,7 @@ def _compared(snippets: DataFrame) -> DataFrame:
 
     def rows(batches):
         held, size = [], 0
-        for part in _groups(batches, ["h", "doc", "alt", "start", "n", "bytes"], "h"):
+        for part in _groups(batches, "h"):
             held.append(part)
             size += part["bytes"].nbytes
             if size >= _AT_ONCE:
@@ -329,7 +356,7 @@ def _compared(snippets: DataFrame) -> DataFrame:
         if held and (out := sort(pa.concat_tables(held))) is not None:
             yield out
 
-    return snippets.repartition("h").sortWithinPartitions("h").mapInArrow(rows, "doc bigint, alt int, start bigint, n int")
+    return _by_anchor(snippets).mapInArrow(rows, "doc bigint, alt int, start bigint, n int")
 
 
 # --- documents -------------------------------------------------------------------
@@ -363,7 +390,7 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     """(texts, ranges): compressed texts (doc, alt, raw) and, for documents with
     a repeat, the list ``found`` of (start, n) whose ``n`` strings from byte
     ``start`` on occur earlier."""
-    base = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).cast("string").alias("text"))
+    base = long_rows(docs).select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).cast("string").alias("text"))
     numbered = _numbered(base)
     found = written(_found(_units(numbered)), "units")
     texts = _packed(numbered)
