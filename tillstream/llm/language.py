@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .common import map_texts, written
+from .common import long_rows, map_texts, written
 
 _WORD = re.compile(r"[^\W\d_]+")
 _COUNTS = "lang string, n int, gram string, times bigint"
@@ -93,22 +93,24 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
         own[column[lang]] = count
     totals = {n: np.sum(list(table.values()), axis=0, dtype=np.float64) if table else np.zeros(len(langs)) for n, table in times.items()}
     order = sorted(range(len(langs)), key=lambda i: (-totals[0][i], langs[i]))
-    known: dict[int, dict[str, np.ndarray]] = {}
+    known: dict[int, dict[str, int]] = {n: {} for n in times}
+    scores = np.zeros((sum(map(len, times.values())), len(langs)), np.float32)
     for n, table in times.items():
-        known[n] = {}
         for gram, own in table.items():
             share = own[order] / np.maximum(totals[n][order], 1)
+            known[n][gram] = row = sum(map(len, known.values()))
             # A language that lacks the entry gets a part of its mean share, so
             # that one with little text does not take what it never saw for likely.
-            known[n][gram] = np.log((1 - _SHARED) * share + _SHARED * share.mean()).astype(np.float32)
-    return {"langs": [langs[i] for i in order], "known": known}
+            scores[row] = np.log((1 - _SHARED) * share + _SHARED * share.mean())
+    return {"langs": [langs[i] for i in order], "known": known, "scores": scores}
 
 
 class Scorer:
     """Scores texts by a fitted model; remembers what words scored."""
 
-    def __init__(self, model: dict, limit: int = 300_000):
+    def __init__(self, model: dict, limit: int = 150_000):
         self._langs, self._known, self._limit = model["langs"], model["known"], limit
+        self._fitted = model["scores"]
         self._forget()
 
     def _forget(self) -> None:
@@ -119,13 +121,13 @@ class Scorer:
         """Log frequencies of a known word; of an unseen one the mean over its
         known n-grams of the longest size that has any."""
         if (found := self._known[0].get(word)) is not None:
-            return found
+            return self._fitted[found]
         padded = _padded(word)
         for n in range(LONGEST, 0, -1):
             table = self._known[n]
             grams = [table[g] for i in range(len(padded) - n + 1) if (g := padded[i : i + n]) in table]
             if grams:
-                return np.mean(grams, axis=0)
+                return self._fitted[grams].mean(axis=0)
         return np.zeros(len(self._langs), np.float32)
 
     def _add(self, word: str) -> int:
@@ -162,6 +164,7 @@ def with_language(docs: DataFrame, model: dict, text_col: str = "text") -> DataF
     its size."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     docs = docs.drop("lang_pred", "score")
+    docs = long_rows(docs)
     names = docs.columns
 
     def rows(batches):

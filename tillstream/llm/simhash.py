@@ -17,7 +17,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from .common import components, map_texts, written
+from .common import components, long_rows, map_texts, written
 
 TILE = 16_384          # rows of a bucket that one task compares with each other
 _AT_ONCE = 1 << 17     # rows compared together
@@ -292,7 +292,7 @@ def verified(pairs: DataFrame, docs: DataFrame, shingle: int, similarity: float,
 
     pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct(), "near-pairs")
     needed = written(pairs.select(F.col("a").alias("doc")).union(pairs.select(F.col("b").alias("doc"))).distinct(), "near-ids")
-    texts = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).cast("string").alias("text"))
+    texts = long_rows(docs).select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).cast("string").alias("text"))
     texts = texts.join(needed, "doc", "left_semi").mapInArrow(pack, "doc bigint, raw binary")
     texts = written(texts.groupBy("doc").agg(F.min("raw").alias("raw")), "near-texts")
     both = pairs.join(texts.select(F.col("doc").alias("a"), F.col("raw").alias("raw_a")), "a").join(
