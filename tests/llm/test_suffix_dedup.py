@@ -63,6 +63,30 @@ def test_long_anchor_groups_come_in_parts(spark, monkeypatch):
     check(spark, [(i, f"{rnd.random()} {passage} {rnd.random()}" * (1 + i % 2)) for i in range(60)])
 
 
+def test_equal_strings_in_different_parts_of_an_anchor_meet(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "_GROUP", 7)
+    monkeypatch.setattr(suffix_dedup, "_BATCH", 1)  # no copy is settled before the shuffle
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "5")
+    try:
+        rnd = random.Random(11)
+
+        def noise():
+            return "".join(rnd.choice("abcdefgh ") for _ in range(150))
+
+        hasher, many = suffix_dedup.Hasher(), "".join(rnd.choice("ABCDEFGH") for _ in range(100_000))
+        hasher.load(np.frombuffer(many.encode(), np.uint8))
+        least = int(hasher.grams(20).argmin())
+        core = many[least:least + 20]  # the anchor of whatever holds it
+        twins = [noise()[:70] + core + noise()[:70] for _ in range(12)]
+        texts = [noise() + (twins[i % 12] if i % 3 == 0 else noise()[:70] + core + noise()[:70]) + noise() for i in range(90)]
+        check(spark, list(enumerate(texts)))
+        check(spark, [(i, noise() + twins[0] + noise()) for i in range(40)])
+    finally:
+        spark.conf.set(setting, before)
+
+
 def test_repeated_ids_and_empty_table(spark):
     rnd = random.Random(2)
     text = "".join(rnd.choice("abcdef ") for _ in range(300))

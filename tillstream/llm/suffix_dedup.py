@@ -37,7 +37,7 @@ _AT_ONCE = 1 << 21                # bytes sorted together, at least one anchor
 
 _UNITS = "h bigint, u bigint, sections bigint, doc bigint, pos bigint, done boolean"
 _BATCH = 200_000                  # units looked through for copies before they are shuffled
-_FOUND = "doc bigint, alt int, start bigint, n int, h bigint"
+_FOUND = "doc bigint, alt int, start bigint, n int, h bigint, hot boolean"
 
 
 # --- units -----------------------------------------------------------------------
@@ -164,8 +164,10 @@ def _runs(*columns: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.flatnonzero(new) + 1, [len(columns[0])]])
 
 
-def _resolve(h, u, sections, doc, pos, done) -> list[pa.Array]:
-    """Covered units (h null) and starts to be compared (h set) of whole anchors."""
+def _resolve(h, u, sections, doc, pos, done, cut: list[int]) -> list[pa.Array]:
+    """Covered units (h null) and starts to be compared (h set) of some anchors.
+    Of the anchors ``cut`` other units are elsewhere: all starts of their
+    different units are to be compared, and are marked ``hot``."""
     order = np.lexsort((pos, doc, u, h, done))
     h, u, sections, doc, pos, done = (c[order] for c in (h, u, sections, doc, pos, done))
     edges = _runs(done, h, u)
@@ -175,9 +177,11 @@ def _resolve(h, u, sections, doc, pos, done) -> list[pa.Array]:
 
     reps = edges[:-1][~done[edges[:-1]]]
     groups = _runs(h[reps]) if len(reps) else np.zeros(1, np.int64)
-    several = np.repeat(np.diff(groups), np.diff(groups)) > 1
-    reps = reps[several]
+    hot = np.isin(h[reps], cut)
+    several = (np.repeat(np.diff(groups), np.diff(groups)) > 1) | hot
+    reps, hot = reps[several], hot[several]
     low, high = np.full(len(reps), 255), np.full(len(reps), -1)  # distances to be compared
+    low[hot], high[hot] = (distance - n + 1)[reps[hot]], distance[reps[hot]]
     for k in range(4):
         near, far = STEP * k, STEP * k + STEP - 1 if k < 3 else REACH
         least, most = np.maximum(distance[reps] - n[reps] + 1, near), np.minimum(distance[reps], far)
@@ -191,7 +195,7 @@ def _resolve(h, u, sections, doc, pos, done) -> list[pa.Array]:
         low[shared] = np.minimum(low[shared], least[shared])
         high[shared] = np.maximum(high[shared], most[shared])
     asked = high >= 0
-    reps, low, high = reps[asked], low[asked], high[asked]
+    reps, low, high, hot = reps[asked], low[asked], high[asked], hot[asked]
     at = np.flatnonzero(covered)
     anchors = np.concatenate([np.zeros(len(at), np.int64), h[reps]])
     null = np.concatenate([np.ones(len(at), bool), np.zeros(len(reps), bool)])
@@ -201,13 +205,24 @@ def _resolve(h, u, sections, doc, pos, done) -> list[pa.Array]:
         pa.array(np.concatenate([start[at], start[reps] + distance[reps] - high])),
         pa.array(np.concatenate([n[at], high - low + 1]).astype(np.int32)),
         pa.array(anchors, mask=null),
+        pa.array(np.concatenate([np.zeros(len(at), bool), hot])),
     ]
 
 
 def _groups(batches, key: str, at_most: int | None = None, at_least: int = 1):
-    """Columns of whole runs of ``key`` from sorted batches, ``at_least`` rows at a
-    time; a run beyond ``at_most`` rows comes in parts."""
+    """Columns of runs of ``key`` from sorted batches, ``at_least`` rows at a time,
+    and the keys of the runs among them that are not whole: a run beyond
+    ``at_most`` rows comes in parts."""
     rest: pa.Table | None = None
+    parted = None  # key of the run of which a part went out last
+
+    def out(part: pa.Table, last_parted: bool):
+        nonlocal parted
+        first, last = part[key][0].as_py(), part[key][-1].as_py()
+        cut = ([first] if first == parted else []) + ([last] if last_parted else [])
+        parted = last if last_parted or last == parted else None
+        return part, cut
+
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -219,13 +234,14 @@ def _groups(batches, key: str, at_most: int | None = None, at_least: int = 1):
         keys = now[key].to_numpy()
         new = np.flatnonzero(keys[1:] != keys[:-1])
         cut = int(new[-1]) + 1 if len(new) else 0
-        if at_most and len(keys) - cut > at_most:
+        inside = bool(at_most) and len(keys) - cut > at_most
+        if inside:
             cut = len(keys)
         if cut:
-            yield now.slice(0, cut)
+            yield out(now.slice(0, cut), inside)
         rest = now.slice(cut)
     if rest is not None and rest.num_rows:
-        yield rest
+        yield out(rest, False)
 
 
 def _by_anchor(rows: DataFrame) -> DataFrame:
@@ -237,10 +253,10 @@ def _by_anchor(rows: DataFrame) -> DataFrame:
 
 def _found(units: DataFrame) -> DataFrame:
     def rows(batches):
-        for part in _groups(batches, "h", _GROUP, min(_GROUP, 20_000)):
-            columns = _resolve(*(part[c].to_numpy() for c in ("h", "u", "sections", "doc", "pos", "done")))
+        for part, cut in _groups(batches, "h", _GROUP, min(_GROUP, 20_000)):
+            columns = _resolve(*(part[c].to_numpy() for c in ("h", "u", "sections", "doc", "pos", "done")), cut)
             if len(columns[0]):
-                yield pa.RecordBatch.from_arrays(columns, names=["doc", "alt", "start", "n", "h"])
+                yield pa.RecordBatch.from_arrays(columns, names=["doc", "alt", "start", "n", "h", "hot"])
 
     return _by_anchor(units).mapInArrow(rows, _FOUND)
 
@@ -346,7 +362,7 @@ def _compared(snippets: DataFrame) -> DataFrame:
 
     def rows(batches):
         held, size = [], 0
-        for part in _groups(batches, "h"):
+        for part, _ in _groups(batches, "h"):
             held.append(part)
             size += part["bytes"].nbytes
             if size >= _AT_ONCE:
@@ -465,8 +481,9 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", as_te
     texts under one id are ordered by a hash. An empty table gives an empty
     result. Equality of whole units rests on two 64-bit hashes.
 
-    Anchors that occur very often are taken in parts of bounded size, which only
-    sends more strings to the comparison. Each text moves twice, compressed.
+    Anchors that occur very often are taken in parts of bounded size; all strings
+    of the different units of each part are compared with those of the others.
+    Each text moves twice, compressed.
     """
     texts, ranges = spans(docs, id_col, text_col)
     joined = texts.join(ranges, ["doc", "alt"], "left")
