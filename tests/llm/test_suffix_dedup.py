@@ -87,6 +87,24 @@ def test_equal_strings_in_different_parts_of_an_anchor_meet(spark, monkeypatch):
         spark.conf.set(setting, before)
 
 
+def test_strings_of_a_common_anchor_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "_GROUP", 7)
+    monkeypatch.setattr(suffix_dedup, "_BATCH", 1)
+    taken, compared = [], suffix_dedup._compared
+    monkeypatch.setattr(suffix_dedup, "_compared", lambda snippets: taken.append(snippets) or compared(snippets))
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "5")
+    try:
+        rnd = random.Random(12)
+        passage = "".join(rnd.choice("abcdefgh ") for _ in range(230))
+        check(spark, [(i, "".join(rnd.choice("abcdefgh ") for _ in range(120)) + passage) for i in range(200)])
+    finally:
+        spark.conf.set(setting, before)
+    sizes = [r.size for r in taken[0].groupBy("h").agg({"bytes": "count", "n": "sum"}).toDF("h", "size", "n").collect()]
+    assert len(sizes) > 100 and max(sizes) <= 20  # before: all units of an anchor under one key
+
+
 def test_repeated_ids_and_empty_table(spark):
     rnd = random.Random(2)
     text = "".join(rnd.choice("abcdef ") for _ in range(300))

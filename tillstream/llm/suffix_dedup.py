@@ -34,6 +34,7 @@ _PLACE = np.uint64((1 << 28) - 1)
 _BASE = 0x9E3779B97F4A7C15
 _GROUP = 50_000                   # units of one anchor held at once
 _AT_ONCE = 1 << 21                # bytes sorted together, at least one anchor
+_HOT, _SLICE = 1 << 19, 1 << 15   # starts of common anchors looked through for copies, and sent, at once
 
 _UNITS = "h bigint, u bigint, sections bigint, doc bigint, pos bigint, done boolean"
 _BATCH = 200_000                  # units looked through for copies before they are shuffled
@@ -331,34 +332,51 @@ def equal_strings(buffer: bytes, at: np.ndarray, group: np.ndarray, length: int
     return out
 
 
+def _starts(raw: list[bytes], start: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(row, at, place) of each start: its snippet, its byte in the joined snippets and in the text."""
+    begin = np.concatenate([[0], np.cumsum([len(b) for b in raw])[:-1]]).astype(np.int64)
+    row = np.repeat(np.arange(len(n)), n)
+    shift = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    return row, begin[row] + shift, start[row] + shift
+
+
+def _later(buffer: bytes, at, group, doc, alt, place) -> np.ndarray:
+    """Indexes of the starts whose string begins at an earlier one of their group."""
+    later = [np.empty(0, np.int64)]
+    for same in equal_strings(buffer, at, group):
+        by = same[np.lexsort((place[same], alt[same], doc[same]))]
+        d, a, p = doc[by], alt[by], place[by]
+        later.append(by[(d != d[0]) | (a != a[0]) | (p != p[0])])
+    return np.concatenate(later)
+
+
+def _ranges(doc, alt, place) -> tuple[np.ndarray, ...]:
+    """(doc, alt, start, n) of the runs of neighbouring starts, of which there is one at least."""
+    by = np.lexsort((place, alt, doc))
+    d, a, p = doc[by], alt[by], place[by]
+    edges = _runs(d, a, p - np.arange(len(p)))
+    first = edges[:-1]
+    return d[first], a[first].astype(np.int32), p[first], np.diff(edges).astype(np.int32)
+
+
 def _compared(snippets: DataFrame) -> DataFrame:
-    """Covered starts among the snippets of each anchor."""
+    """Covered starts among the snippets of each anchor. An empty snippet stands
+    for starts that are known to be covered."""
 
     def sort(part: pa.Table):
         raw = part["bytes"].to_pylist()
         doc, alt, start, n = (part[c].to_numpy() for c in ("doc", "alt", "start", "n"))
         edges = _runs(part["h"].to_numpy())
         group = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
-        begin = np.concatenate([[0], np.cumsum([len(b) for b in raw])[:-1]])
-        row = np.repeat(np.arange(len(n)), n)
-        shift = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-        at, place = begin[row] + shift, start[row] + shift
-        later = []
-        for same in equal_strings(b"".join(raw), at, group[row]):
-            by = same[np.lexsort((place[same], alt[row[same]], doc[row[same]]))]
-            d, a, p = doc[row[by]], alt[row[by]], place[by]
-            later.append(by[(d != d[0]) | (a != a[0]) | (p != p[0])])
-        if not later:
+        known = np.array([not b for b in raw])
+        row, at, place = _starts(raw, start, np.where(known, 0, n))
+        found = [doc[known], alt[known].astype(np.int32), start[known], n[known].astype(np.int32)]
+        if len(later := _later(b"".join(raw), at, group[row], doc[row], alt[row], place)):
+            own = _ranges(doc[row[later]], alt[row[later]], place[later])
+            found = [np.concatenate(pair) for pair in zip(found, own)]
+        if not len(found[0]):
             return None
-        at = np.concatenate(later)
-        d, a, p = doc[row[at]], alt[row[at]], place[at]
-        by = np.lexsort((p, a, d))
-        d, a, p = d[by], a[by], p[by]
-        edges = _runs(d, a, p - np.arange(len(p)))
-        first, size = edges[:-1], np.diff(edges)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(d[first]), pa.array(a[first].astype(np.int32)), pa.array(p[first]), pa.array(size.astype(np.int32))],
-            names=["doc", "alt", "start", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=["doc", "alt", "start", "n"])
 
     def rows(batches):
         held, size = [], 0
@@ -402,43 +420,90 @@ def _packed(docs: DataFrame) -> DataFrame:
     return docs.select("doc", "alt", "text").mapInArrow(rows, "doc bigint, alt int, raw binary")
 
 
-def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(texts, ranges): compressed texts (doc, alt, raw) and, for documents with
-    a repeat, the list ``found`` of (start, n) whose ``n`` strings from byte
-    ``start`` on occur earlier."""
-    base = long_rows(docs).select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).cast("string").alias("text"))
-    numbered = _numbered(base)
-    found = written(_found(_units(numbered)), "units")
-    texts = _packed(numbered)
-    asked = found.filter("h IS NOT NULL").groupBy("doc", "alt").agg(F.collect_list(F.struct("h", "start", "n")).alias("asked"))
+_NAMES = ["h", "doc", "alt", "start", "n", "bytes"]
+
+
+def _snippets(columns: list[list]) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=_NAMES)
+
+
+def _spread(columns: list[list], hasher: Hasher):
+    """Snippets of common anchors, string by string under keys of their own: an
+    anchor goes to many tasks, equal strings to one. Copies among the strings at
+    hand are covered and go on as empty snippets, so that a common string is one
+    row per call."""
+    h, doc, alt, start, n = (np.array(c, np.int64) for c in columns[:5])
+    buffer = b"".join(columns[5])
+    row, at, place = _starts(columns[5], start, n)
+    d, a = doc[row], alt[row]
+    by, group = np.unique(h, return_inverse=True)
+    later = _later(buffer, at, group[row], d, a, place)
+    if len(later):
+        own = _ranges(d[later], a[later], place[later])
+        key = _mix(own[0].astype(np.uint64) + own[2].astype(np.uint64) * np.uint64(_BASE)).view(np.int64)
+        empty = pa.array([b""] * len(key), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(key), *(pa.array(c) for c in own), empty], names=_NAMES)
+    left = np.ones(len(at), bool)
+    left[later] = False
+    left = np.flatnonzero(left)
+    data = np.frombuffer(buffer, np.uint8)
+    hasher.load(data)
+    windows = np.lib.stride_tricks.sliding_window_view(data, LENGTH)
+    for begin in range(0, len(left), _SLICE):
+        own = left[begin : begin + _SLICE]
+        key = _mix(hasher.of(at[own], at[own] + LENGTH) ^ h[row[own]].view(np.uint64)).view(np.int64)
+        ends = pa.py_buffer(np.arange(0, LENGTH * (len(own) + 1), LENGTH, dtype=np.int32).tobytes())
+        strings = pa.Array.from_buffers(pa.binary(), len(own), [None, ends, pa.py_buffer(windows[at[own]].tobytes())])
+        ones = np.ones(len(own), np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(key), pa.array(d[own]), pa.array(a[own].astype(np.int32)), pa.array(place[own]), pa.array(ones), strings], names=_NAMES)
+
+
+def _cut(asked: DataFrame) -> DataFrame:
+    """The snippets asked for of the texts of (doc, alt, raw, asked)."""
 
     def cut(batches):
-        unpack = zstandard.ZstdDecompressor().decompress
-        names = ["h", "doc", "alt", "start", "n", "bytes"]
+        unpack, hasher = zstandard.ZstdDecompressor().decompress, Hasher()
+        out, hot = ([[] for _ in _NAMES] for _ in range(2))
+        size = starts = 0
         for batch in batches:
-            out: list[list] = [[] for _ in names]
-            size = 0
             for doc, alt, raw, asked in zip(*(batch.column(c).to_pylist() for c in ("doc", "alt", "raw", "asked"))):
                 data = unpack(raw)
                 for a in asked:
                     piece = data[a["start"] : a["start"] + a["n"] + LENGTH - 1]
-                    size += len(piece)
-                    for column, value in zip(out, (a["h"], doc, alt, a["start"], a["n"], piece)):
+                    for column, value in zip(hot if a["hot"] else out, (a["h"], doc, alt, a["start"], a["n"], piece)):
                         column.append(value)
+                    if a["hot"]:
+                        starts += a["n"]
+                    else:
+                        size += len(piece)
+                    if starts >= _HOT:
+                        yield from _spread(hot, hasher)
+                        hot, starts = [[] for _ in _NAMES], 0
                 if size > 1 << 24:
-                    yield _snippets(out, names)
-                    out, size = [[] for _ in names], 0
-            yield _snippets(out, names)
+                    yield _snippets(out)
+                    out, size = [[] for _ in _NAMES], 0
+        yield _snippets(out)
+        if starts:
+            yield from _spread(hot, hasher)
 
-    snippets = texts.join(asked, ["doc", "alt"]).mapInArrow(cut, "h bigint, doc bigint, alt int, start bigint, n int, bytes binary")
-    compared = written(_compared(snippets), "compared")
-    covered = found.filter("h IS NULL").select("doc", "alt", "start", "n").unionByName(compared)
-    return texts, covered.groupBy("doc", "alt").agg(F.collect_list(F.struct("start", "n")).alias("found"))
+    return asked.mapInArrow(cut, "h bigint, doc bigint, alt int, start bigint, n int, bytes binary")
 
 
-def _snippets(columns: list[list], names: list[str]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(texts, ranges): compressed texts (doc, alt, raw) and, for documents with
+    a repeat, the list ``found`` of (start, n) whose ``n`` strings from byte
+    ``start`` on occur earlier."""
+    base = long_rows(docs).select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).cast("string").alias("text"))
+    numbered = _numbered(base)
+    found = written(_found(_units(numbered)), "units")
+    texts = _packed(numbered)
+    asked = found.filter("h IS NOT NULL").groupBy("doc", "alt").agg(F.collect_list(F.struct("h", "start", "n", "hot")).alias("asked"))
+
+    compared = written(_compared(_cut(texts.join(asked, ["doc", "alt"]))), "compared")
+    covered = found.filter("h IS NULL").select("doc", "alt", "start", "n").unionByName(compared)
+    return texts, covered.groupBy("doc", "alt").agg(F.collect_list(F.struct("start", "n")).alias("found"))
 
 
 def merged(found: list[tuple[int, int]] | None) -> list[tuple[int, int]]:
@@ -481,8 +546,9 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", as_te
     texts under one id are ordered by a hash. An empty table gives an empty
     result. Equality of whole units rests on two 64-bit hashes.
 
-    Anchors that occur very often are taken in parts of bounded size; all strings
-    of the different units of each part are compared with those of the others.
+    Anchors that occur very often are taken in parts of bounded size; the strings
+    of the different units of each part then meet those of the others string by
+    string, spread over all tasks.
     Each text moves twice, compressed.
     """
     texts, ranges = spans(docs, id_col, text_col)
