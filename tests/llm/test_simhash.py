@@ -105,6 +105,25 @@ def test_similarity_is_checked(spark):
     assert {r.doc_id: r.component_id for r in found} == {1: 1, 2: 1, 3: 3}
 
 
+def near(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = simhash.near_duplicates(docs, 5, 4, 56, simhash.band_keys(256, 13), similarity=0.8).collect()
+    return {r.doc_id: r.component_id for r in found}
+
+
+def test_similarity_takes_sets_of_shingles(spark):
+    rnd = random.Random(21)
+    line = " ".join(str(rnd.random()) for _ in range(7)) + " "
+    tails = [" ".join(str(rnd.random()) for _ in range(500)) for _ in range(3)]
+    rows = [(i, line * 100 + t) for i, t in enumerate(tails)]  # equal fingerprints if repeats count
+    rows.append((10, tails[0] + " " + tails[0]))
+    rows.append((11, tails[0] + (" " + tails[0]) * 2 + (" " + line) * 0))
+    rows.append((12, (line * 60 + tails[1] + " ") + line * 2))
+    found = near(spark, rows)
+    assert [found[i] for i in (0, 1, 2)] == [0, 1, 2]
+    assert found[10] == found[11] and found[12] == 1
+
+
 def test_components(spark):
     rnd = random.Random(3)
     pairs = [(i, i + 1) for i in range(100, 160)] + [(500, i) for i in range(400, 480)] + [(rnd.randint(0, 60), rnd.randint(0, 60)) for _ in range(40)]

@@ -36,19 +36,27 @@ def _mixed(h: np.ndarray, k: int) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def fingerprint(text: str | None, shingle: int = 3, words: int = 1, seed: int = 42) -> bytes:
-    """``words`` 64-bit words, big-endian; a bit is 1 if it is set in over half
-    the shingles' hashes. A-Z count as a-z, words end at ASCII white space. With
-    fewer words than a shingle the whole sequence is one; without any it is 0."""
+def shingle_hashes(text: str | None, shingle: int = 3, seed: int = 42) -> np.ndarray:
+    """A 64-bit hash per shingle. A-Z count as a-z, words end at ASCII white space.
+    With fewer words than a shingle the whole sequence is one."""
     found = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not found:
-        return bytes(8 * words)
     join, digest = b" ".join, xxhash.xxh64_intdigest
     if len(found) <= shingle:
-        hashes = [digest(join(found), seed)]
+        hashes = [digest(join(found), seed)] if found else []
     else:
         hashes = [digest(join(s), seed) for s in zip(*(found[i:] for i in range(shingle)))]
-    hashes = np.array(hashes, dtype=np.uint64)
+    return np.array(hashes, dtype=np.uint64)
+
+
+def fingerprint(text: str | None, shingle: int = 3, words: int = 1, seed: int = 42) -> bytes:
+    """``words`` 64-bit words, big-endian; a bit is 1 if it is set in over half
+    the shingles' hashes. Without any shingle it is 0."""
+    return _folded(shingle_hashes(text, shingle, seed), words)
+
+
+def _folded(hashes: np.ndarray, words: int) -> bytes:
+    if not len(hashes):
+        return bytes(8 * words)
     fingers = []
     for k in range(words):
         own = (_mixed(hashes, k) if k else hashes).astype(">u8").view(np.uint8).reshape(-1, 8)
@@ -70,6 +78,18 @@ def fingerprints(docs: DataFrame, shingle: int = 3, words: int = 1,
     return map_texts(docs, rows, "doc_id bigint, fp binary", id_col, text_col)
 
 
+def set_prints(docs: DataFrame, shingle: int, words: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, fp, node): as ``fingerprints``, of each shingle once; ``node`` is
+    the digest of the set of shingles."""
+
+    def rows(pairs):
+        for doc, text in pairs:
+            hashes = np.unique(shingle_hashes(text, shingle))
+            yield doc, _folded(hashes, words), xxhash.xxh3_128_digest(hashes.tobytes())
+
+    return map_texts(docs, rows, "doc_id bigint, fp binary, node binary", id_col, text_col)
+
+
 # --- keys ------------------------------------------------------------------------
 
 
@@ -203,13 +223,13 @@ def nearest_forest(prints: np.ndarray, pairs, at_once: int = 1 << 20) -> tuple[n
 
 
 def links(prints: DataFrame, tables: list[tuple[int, ...]], radius: int) -> DataFrame:
-    """(a, b) between the ``rep`` ids of distinct fingerprints ``fp`` that share
+    """(a, b) between the ``rep`` ids of fingerprints ``fp`` that share
     a bucket and differ in at most ``radius`` bits: for each bucket the closest
     pairs that hold its classes together, never all its pairs. Buckets beyond TILE rows are dealt to many
     tasks as pairs of chunks."""
     keyed = written(_keyed(prints, tables), "simhash-keys")
     many = keyed.groupBy("tab", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    chunk = F.pmod(F.xxhash64("fp"), F.col("chunks"))
+    chunk = F.pmod(F.xxhash64("fp", "rep"), F.col("chunks"))
     shared = (
         keyed.join(many, ["tab", "key"]).withColumn("chunks", F.ceil(F.col("n") * 2 / TILE))
         .withColumn("own", F.when(F.col("n") <= TILE, F.lit(0).cast("bigint")).otherwise(chunk))
@@ -294,7 +314,7 @@ def verified(pairs: DataFrame, docs: DataFrame, shingle: int, similarity: float,
     needed = written(pairs.select(F.col("a").alias("doc")).union(pairs.select(F.col("b").alias("doc"))).distinct(), "near-ids")
     texts = long_rows(docs).select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).cast("string").alias("text"))
     texts = texts.join(needed, "doc", "left_semi").mapInArrow(pack, "doc bigint, raw binary")
-    texts = written(texts.groupBy("doc").agg(F.min("raw").alias("raw")), "near-texts")
+    texts = written(texts.distinct(), "near-texts")  # all texts of a repeated id
     both = pairs.join(texts.select(F.col("doc").alias("a"), F.col("raw").alias("raw_a")), "a").join(
         texts.select(F.col("doc").alias("b"), F.col("raw").alias("raw_b")), "b")
 
@@ -319,23 +339,27 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, words: int = 1, radius: i
     """(doc_id, fp, component_id): documents are linked when their fingerprints
     differ in at most ``radius`` bits; a component is named by its least doc_id.
 
-    ``tables`` default to keys that find every such pair. With ``similarity`` the
-    closest pairs that hold a class together are kept only where the Jaccard
-    similarity of their sets of shingles reaches it. Equal fingerprints are
+    ``tables`` default to keys that find every such pair. Equal fingerprints are
     one node, so copies meet in a partial aggregate and not in a comparison.
+    With ``similarity`` a node is a set of shingles, fingerprints take each
+    shingle once, and near ones are linked only where the Jaccard similarity of
+    their sets reaches it.
     Null, empty and blank texts have fingerprint zero and are linked like any
     other. A row with a null doc_id gets a fingerprint and no component. Rows
     that repeat a doc_id are linked through it. An empty table gives an empty
     result.
     """
-    found = written(fingerprints(docs, shingle, words, id_col, text_col), "fingerprints")
-    prints = written(found.filter("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("rep")), "prints")
+    if similarity is None:
+        found, key = written(fingerprints(docs, shingle, words, id_col, text_col), "fingerprints"), "fp"
+    else:
+        found, key = written(set_prints(docs, shingle, words, id_col, text_col), "fingerprints"), "node"
+    prints = written(found.filter("doc_id IS NOT NULL").groupBy(*{key: 0, "fp": 0}).agg(F.min("doc_id").alias("rep")), "prints")
     pairs = links(prints, tables or pair_keys(64 * words, radius + 2), radius)
     if similarity is not None:
         pairs = verified(pairs, docs, shingle, similarity, id_col, text_col)
-    own = found.join(prints, "fp", "left").withColumnRenamed("rep", "_rep")
+    own = found.join(prints.select(key, F.col("rep").alias("_rep")), key, "left")
     repeated = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(
-        F.min("fp").alias("fp"), F.max("fp").alias("_most")).filter("fp <> _most")
+        F.min(key).alias("_least"), F.max(key).alias("_most")).filter("_least <> _most")
     if repeated.limit(1).count():  # one doc_id with several texts links their fingerprints
         spread = own.join(repeated.select("doc_id"), "doc_id").select(F.col("doc_id").alias("a"), F.col("_rep").alias("b"))
         pairs = pairs.union(spread)
