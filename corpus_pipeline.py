@@ -26,8 +26,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest doc_id of each group of near copies: SimHash over five-word
     shingles, 256 bits, at most NEAR_BITS of them different, searched in 19
-    tables of 13 bits and verified on the shingles. Two texts of similarity 0.8
-    share a table with probability 0.9, of 0.9 with 0.99. Rows without a doc_id
+    tables of 13 bits and verified on the shingles; what the tables miss is found
+    by the rare shingles that similar texts must share. Rows without a doc_id
     stay; rows that repeat one are one document."""
     found = simhash.near_duplicates(docs, shingle=5, words=4, radius=NEAR_BITS,
                                     tables=simhash.band_keys(256, 13), similarity=SIMILARITY)

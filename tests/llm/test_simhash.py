@@ -124,6 +124,33 @@ def test_similarity_takes_sets_of_shingles(spark):
     assert found[10] == found[11] and found[12] == 1
 
 
+def test_similar_pairs_are_all_linked(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "FREQUENT", 5)
+    rnd, texts = random.Random(31), []
+    for family in range(60):
+        base = [f"w{rnd.randrange(10**6)}" for _ in range(204)]
+        for _ in range(8):
+            own = list(base)
+            for place in rnd.sample(range(204), rnd.randint(3, 7)):
+                own[place] = f"v{rnd.randrange(10**6)}"
+            texts.append(" ".join(own))
+    sets = [simhash.shingle_set(t.encode(), 5) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(texts)):
+        for j in range(i // 8 * 8, i):
+            common = len(sets[i] & sets[j])
+            if common >= 0.8 * (len(sets[i]) + len(sets[j]) - common):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    assert near(spark, list(enumerate(texts))) == {i: find(i) for i in range(len(texts))}
+
+
 def test_components(spark):
     rnd = random.Random(3)
     pairs = [(i, i + 1) for i in range(100, 160)] + [(500, i) for i in range(400, 480)] + [(rnd.randint(0, 60), rnd.randint(0, 60)) for _ in range(40)]

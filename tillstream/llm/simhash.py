@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import components, long_rows, map_texts, written
 
+FREQUENT, _SHARE = 24, 8   # sampled texts that hold a frequent shingle; one text in so many is sampled
 TILE = 16_384          # rows of a bucket that one task compares with each other
 _AT_ONCE = 1 << 17     # rows compared together
 _STEP = 8              # planes between two looks at which words are finished
@@ -333,6 +334,52 @@ def verified(pairs: DataFrame, docs: DataFrame, shingle: int, similarity: float,
     return both.select("a", "b", "raw_a", "raw_b").mapInArrow(compare, "a bigint, b bigint")
 
 
+def _first_shingles(text: str | None, shingle: int, similarity: float, frequent: np.ndarray) -> tuple[np.ndarray, int]:
+    """The first shingles of a text's set, infrequent ones before others and by
+    hash, and the size of the set. Sets of at least the similarity share one."""
+    hashes = np.unique(shingle_hashes(text, shingle)).view(np.int64)
+    if len(frequent):
+        hashes = hashes[np.argsort(np.isin(hashes, frequent), kind="stable")]
+    least = int(np.ceil(similarity * len(hashes) - 1e-6))
+    return hashes[: len(hashes) - least + 1 if least else 0], len(hashes)
+
+
+def unlinked_pairs(docs: DataFrame, reps: DataFrame, shingle: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
+    """(a, b): a superset of the pairs of ``rep`` ids under different ``root`` whose
+    sets of shingles reach the similarity. Both then share one of their first
+    shingles in any order of all shingles; this one puts those last that a sample
+    finds frequent, so that a common passage does not pair all that hold it."""
+
+    def rows_with(frequent):
+        def rows(pairs):
+            for doc, text in pairs:
+                if doc is None:
+                    continue
+                first, size = _first_shingles(text, shingle, similarity, frequent)
+                for at, token in enumerate(first.tolist()):
+                    yield token, doc, at, size
+        return rows
+
+    schema = "token bigint, rep bigint, at int, size int"
+    sampled = docs.filter(F.pmod(F.xxhash64(id_col), F.lit(_SHARE)) == 0)
+    counts = map_texts(sampled, rows_with(np.empty(0, np.int64)), schema, id_col, text_col).groupBy("token").count()
+    top = counts.filter(F.col("count") >= FREQUENT).orderBy(F.desc("count"), "token").limit(100_000).collect()
+    frequent = np.array([r.token for r in top], np.int64)
+    index = map_texts(docs, rows_with(frequent), schema, id_col, text_col)
+    index = written(index.join(reps, "rep").distinct(), "first-shingles")
+    several = index.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y").select("token")
+    grouped = written(
+        index.join(several, "token", "left_semi").groupBy("token", "root")
+        .agg(F.collect_list(F.struct("rep", "at", "size")).alias("own")), "shingle-groups")
+    a, b = (grouped.select("token", F.col("root").alias(f"root_{k}"), F.col("own").alias(f"own_{k}")) for k in "ab")
+    pairs = a.join(b, "token").filter("root_a < root_b").select("own_b", F.explode("own_a").alias("a"))
+    pairs = pairs.select("a", F.explode("own_b").alias("b"))
+    # What both can share from this shingle on, if it is their first common one.
+    least = F.lit(similarity / (1 + similarity)) * (F.col("a.size") + F.col("b.size")) - 1e-6
+    shared = F.least(F.col("a.size") - F.col("a.at"), F.col("b.size") - F.col("b.at"))
+    return pairs.filter(shared >= least).select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, words: int = 1, radius: int = 2,
                     tables: list[tuple[int, ...]] | None = None, similarity: float | None = None,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -342,8 +389,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, words: int = 1, radius: i
     ``tables`` default to keys that find every such pair. Equal fingerprints are
     one node, so copies meet in a partial aggregate and not in a comparison.
     With ``similarity`` a node is a set of shingles, fingerprints take each
-    shingle once, and near ones are linked only where the Jaccard similarity of
-    their sets reaches it.
+    shingle once, and the result is that of linking every two nodes whose sets
+    have at least that Jaccard similarity: near fingerprints are checked first,
+    then the pairs between different components that share one of the shingles
+    which similar sets must share. Equality of shingles rests on 64-bit hashes there.
     Null, empty and blank texts have fingerprint zero and are linked like any
     other. A row with a null doc_id gets a fingerprint and no component. Rows
     that repeat a doc_id are linked through it. An empty table gives an empty
@@ -356,7 +405,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, words: int = 1, radius: i
     prints = written(found.filter("doc_id IS NOT NULL").groupBy(*{key: 0, "fp": 0}).agg(F.min("doc_id").alias("rep")), "prints")
     pairs = links(prints, tables or pair_keys(64 * words, radius + 2), radius)
     if similarity is not None:
-        pairs = verified(pairs, docs, shingle, similarity, id_col, text_col)
+        pairs = written(verified(pairs, docs, shingle, similarity, id_col, text_col), "near-links")
+        linked = components(pairs, label="simhash-linked")
+        reps = prints.select("rep").distinct().join(linked, prints["rep"] == linked["node"], "left").select(
+            "rep", F.coalesce("root", "rep").alias("root"))
+        more = unlinked_pairs(docs, written(reps, "near-roots"), shingle, similarity, id_col, text_col)
+        pairs = pairs.union(verified(more, docs, shingle, similarity, id_col, text_col))
     own = found.join(prints.select(key, F.col("rep").alias("_rep")), key, "left")
     repeated = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(
         F.min(key).alias("_least"), F.max(key).alias("_most")).filter("_least <> _most")
