@@ -1,0 +1,88 @@
+from hashlib import sha256
+
+from pyspark.sql import functions as F
+
+from tillstream.llm import merkle
+
+SCHEMA = "doc_id bigint, source string, lang string, n_chars bigint, text string, leaf string, rank string, size int"
+COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def H(*parts):
+    return sha256("".join(parts).encode()).hexdigest()
+
+
+def leaf(row):
+    return H(*["-" if row[c] is None else f"{len(str(row[c]).encode())}:{row[c]}" for c in COLUMNS])
+
+
+def tree(nodes):
+    levels = [nodes]
+    while len(levels[-1]) > 1:
+        last = levels[-1]
+        levels.append([H(*last[i : i + 3]) for i in range(0, len(last), 3)])
+    return levels
+
+
+def way_up(levels, i):
+    path = []
+    for level in levels[:-1]:
+        first = i // 3 * 3
+        path.append(("".join(level[first:i]), "".join(level[i + 1 : first + 3])))
+        i //= 3
+    return path
+
+
+def brute_force(rows):
+    groups = {}
+    for row in rows:
+        groups.setdefault(row["source"], []).append(row)
+    names = sorted(groups, key=lambda s: (s is not None, (s or "").encode()))
+    leaves = {s: sorted(((r["doc_id"] is not None, r["doc_id"] or 0, leaf(r)) for r in groups[s])) for s in names}
+    trees = {s: tree([digest for _, _, digest in leaves[s]]) for s in names}
+    top = tree([trees[s][-1][0] for s in names])
+    return sorted(
+        ((known, key) if known else (known, 0), s is not None, s or "", digest, trees[s][-1][0], top[-1][0], tuple(way_up(trees[s], i) + way_up(top, n)))
+        for n, s in enumerate(names) for i, (known, key, digest) in enumerate(leaves[s]))
+
+
+def found(frame):
+    return sorted(
+        ((r.doc_id is not None, r.doc_id or 0), r.source is not None, r.source or "", r.leaf, r.subroot, r.root, tuple((s.left, s.right) for s in r.path))
+        for r in frame.collect())
+
+
+def made(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def test_equals_brute_force(spark, monkeypatch):
+    """Groups of 1 to 40 leaves, so that tiers of two levels stack up; null and
+    repeated keys, repeated rows, clashing columns."""
+    monkeypatch.setattr(merkle, "TIER", 2)
+    rows = [(i, f"s{g}", "en", i % 7, f"text {i}\n", "clash", "clash", 0) for g, n in enumerate((1, 2, 3, 4, 9, 10, 27, 28, 40)) for i in range(1000 * g, 1000 * g + n)]
+    rows += [(None, None, None, None, None, None, None, None), (None, None, None, None, "", "x", "y", 1), (5, None, "é", 1, "ü", "", "", 2)]
+    rows += [(7, "twice", "de", 1, "same", "", "", 0)] * 3 + [(7, "twice", "de", 1, "other", "", "", 0), (8, "S1", "de", 1, "w" * 300_000, "", "", 0)]
+    docs = made(spark, rows).repartition(7)
+    result = merkle.manifest(docs).cache()
+    assert result.columns == ["doc_id", "source", "leaf", "subroot", "root", "path"]
+    assert found(result) == brute_force([r.asDict() for r in docs.collect()])
+    folded = result.select((merkle.fold(F.col("leaf"), F.col("path")) == F.col("root")).alias("same")).distinct().collect()
+    assert [r.same for r in folded] == [True]
+    other = result.select((merkle.fold(F.lit("0" * 64), F.col("path")) == F.col("root")).alias("same")).distinct().collect()
+    assert [r.same for r in other] == [False]
+
+
+def test_small_tables(spark):
+    one = made(spark, [(1, "a", "en", 3, "abc", None, None, None)])
+    (row,) = merkle.manifest(one, carry={"again": merkle.leaf_digest(F.col("doc_id"), F.lit(None))}).collect()
+    assert row.leaf == row.subroot == row.root and row.path == [] and row.again == H("1:1", "-")
+    assert merkle.manifest(one.limit(0)).collect() == []
+
+
+def test_any_change_shows(spark):
+    rows = [(i, "a", "en", 3, f"t{i}", None, None, None) for i in range(12)]
+    root = merkle.manifest(made(spark, rows)).first().root
+    for changed in (rows[1:], [(0, "a", "en", 4, "t0", None, None, None), *rows[1:]], [(0, "b", "en", 3, "t0", None, None, None), *rows[1:]]):
+        assert merkle.manifest(made(spark, changed)).first().root != root
+    assert merkle.manifest(made(spark, rows[::-1])).first().root == root

@@ -33,10 +33,10 @@ HEX = "[0-9a-f]{24,}"
 NAMES = "access_?key_?id|access_?key|client_?id|key_?id|username|user|login|account"
 VALUES = "secret_?key|private_?key|passphrase|password|passwd|secret|token|api_?key|pass|pwd|credential"
 PLACES = "hostname|host|endpoint|server|base_?url"
-IDENTIFIER = f"{_either_case(NAMES)}{_SET}[A-Za-z0-9@._+-]{{3,}}|AKIA[A-Z0-9]{{8,}}|ASIA[A-Z0-9]{{8,}}|[A-Za-z0-9._%+-]{{1,64}}@[A-Za-z0-9-]{{1,63}}[.][A-Za-z0-9.-]{{2,}}"
-SECRET = f"{_either_case(VALUES)}{_SET}[A-Za-z0-9+/_.=-]{{4,}}|[A-Za-z0-9+/_-]{{20,}}"
+IDENTIFIER = f"(?:{_either_case(NAMES)}){_SET}[A-Za-z0-9@._+-]{{3,}}|AKIA[A-Z0-9]{{8,}}|ASIA[A-Z0-9]{{8,}}|[A-Za-z0-9._%+-]{{1,64}}@[A-Za-z0-9-]{{1,63}}[.][A-Za-z0-9.-]{{2,}}"
+SECRET = f"(?:{_either_case(VALUES)}){_SET}[A-Za-z0-9+/_.=-]{{4,}}|[A-Za-z0-9+/_-]{{20,}}"
 ENDPOINT = (r"(?:https|http|ftp|ssh|s3|mysql|postgresql|postgres|mongodb|redis|amqp)://[^\x20\x09-\x0D\"'<>]+"
-            f"|{_either_case(PLACES)}{_SET}[A-Za-z0-9._:/-]{{3,}}")
+            f"|(?:{_either_case(PLACES)}){_SET}[A-Za-z0-9._:/-]{{3,}}")
 OPAQUE = "[A-Za-z0-9+/_-]{20,}"
 BREAK = r"\n[\x20\t\r]*\n"
 
