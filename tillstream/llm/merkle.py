@@ -4,9 +4,10 @@ A node is labelled with the interval of leaf ranks it covers. Ranks come from a
 range partitioning and counts per task, so no task orders a whole group. Trees
 grow a tier of TIER levels at a time: one shuffle brings the at most FAN**TIER
 nodes under a node of the tier's top together. Proofs go down again tier by
-tier: an item meets its ancestors of a tier by the level and the bucket of its
-rank (no key of that join holds more than FAN**TIER items), and what the
-ancestor's children cover besides the item's own interval are its siblings.
+tier: an item joins the nodes of its tier by the bucket of its rank (no key of
+that join holds more than FAN**TIER items), those whose intervals contain it
+are its ancestors, and what an ancestor's children cover besides the item are
+its siblings.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from .common import once, written
 
 FAN = 3
 TIER = 5
-_PATH = "array<struct<left:string,right:string>>"
+_PATH = "array<struct<left:binary,right:binary>>"  # digests are kept as bytes, and hashed and given out as hex text
 
 
 def field(value: Column) -> Column:
@@ -32,6 +33,14 @@ def leaf_digest(*values: Column) -> Column:
     return F.sha2(F.concat(*[field(v) for v in values]), 256)
 
 
+def _joined(digests: Column) -> Column:
+    return F.aggregate(digests, F.lit(b"").cast("binary"), lambda a, d: F.concat(a, d))
+
+
+def _text(digests: Column) -> Column:
+    return F.lower(F.hex(digests))
+
+
 def fold(leaf: Column, path: Column) -> Column:
     """The root that follows from a leaf and its siblings, from the bottom up."""
     return F.aggregate(path, leaf, lambda below, s: F.sha2(F.concat(s["left"], below, s["right"]), 256))
@@ -42,12 +51,6 @@ def proof_digest(path: Column) -> Column:
     return F.sha2(F.array_join(F.transform(path, lambda s: F.concat(s["left"], s["right"])), ""), 256)
 
 
-def _levels(size: Column) -> Column:
-    """Levels above ``size`` leaves: how many powers of FAN are less."""
-    powers = [FAN**k for k in range(64) if FAN**k < 1 << 63]
-    return reduce(lambda a, b: a + b, [(size > F.lit(p).cast("bigint")).cast("int") for p in powers])
-
-
 def _span(level: Column) -> Column:
     """Leaves under a full node of a level: FAN ** level, as a whole number."""
     powers = F.array(*[F.lit(FAN**k).cast("bigint") for k in range(64) if FAN**k < 1 << 63])
@@ -89,12 +92,14 @@ def _labelled(level: int, kids: str, digests: str) -> Column:
     """The nodes of a level with the first rank they cover, counted from ``from``."""
     width = F.lit(FAN**level).cast("bigint")
     return F.transform(kids, lambda k, j: F.struct(
-        F.lit(level).alias("level"), (F.col("from") + j * width).alias("lo"), F.get(digests, j).alias("digest"), k.alias("kids")))
+        F.lit(level).alias("level"), (F.col("from") + j * width).alias("lo"), F.least(F.col("from") + (j + 1) * width, "size").alias("hi"),
+        F.get(digests, j).alias("digest"), k.alias("kids")))
 
 
-def grow(leaves: DataFrame, most: int, label: str) -> DataFrame:
-    """All nodes above ``leaves`` (``grp, rank, size, digest``), the largest
-    group of which has ``most``: ``grp, size, level, lo, hi, digest, kids``."""
+def grow(leaves: DataFrame, most: int, label: str) -> list[DataFrame]:
+    """The nodes above ``leaves`` (``grp, rank, size, digest``), the largest
+    group of which has ``most``, tier by tier. A row holds the nodes of a tier
+    under one node of its top: ``grp, size, block, nodes``."""
     tiers, base = [], 0
     below = leaves.select("grp", "size", F.col("rank").alias("lo"), "digest")
     while FAN**base < most:
@@ -103,76 +108,74 @@ def grow(leaves: DataFrame, most: int, label: str) -> DataFrame:
             below.filter(F.col("size") > FAN**base)
             .groupBy("grp", "size", _whole(F.col("lo"), top).alias("block"))
             .agg(F.sort_array(F.collect_list(F.struct("lo", "digest"))).alias("own"))  # at most FAN**TIER
-            .select("grp", "size", (F.col("block") * top).alias("from"), F.col("own.digest").alias("d0"))
+            .select("grp", "size", "block", (F.col("block") * top).alias("from"), F.col("own.digest").alias("d0"))
         )
         for i in range(1, TIER + 1):
             row = row.withColumn(f"k{i}", once(_threes(f"d{i - 1}")))
-            row = row.withColumn(f"d{i}", once(F.transform(f"k{i}", lambda k: F.sha2(F.array_join(k, ""), 256))))
-        labelled = [_labelled(base + i, f"k{i}", f"d{i}") for i in range(1, TIER + 1)]
-        nodes = row.select("grp", "size", F.explode(F.concat(*labelled)).alias("n")).select("grp", "size", "n.*")
-        nodes = nodes.filter(F.col("size") > _span(F.col("level") - 1))  # not above the root
-        nodes = nodes.withColumn("hi", F.least(F.col("lo") + _span(F.col("level")), "size"))
-        tiers.append(written(nodes.select("grp", "size", "level", "lo", "hi", "digest", "kids"), label))
+            row = row.withColumn(f"d{i}", once(F.transform(f"k{i}", lambda k: F.unhex(F.sha2(_text(_joined(k)), 256)))))
+        nodes = F.concat(*[_labelled(base + i, f"k{i}", f"d{i}") for i in range(1, TIER + 1)])
+        nodes = F.filter(nodes, lambda n: F.col("size") > _span(n["level"] - 1))  # not above the root
+        tiers.append(written(row.select("grp", "size", "block", nodes.alias("nodes")), label))
         base += TIER
-        below = tiers[-1].filter(F.col("level") == base).select("grp", "size", "lo", "digest")
-    if tiers:
-        return reduce(DataFrame.unionByName, tiers)
-    return below.filter("false").select("grp", "size", F.lit(0).alias("level"), "lo", F.col("lo").alias("hi"), "digest", F.array("digest").alias("kids"))
-
-
-def _attached(items: DataFrame, nodes: DataFrame, base: int) -> DataFrame:
-    """``items`` (``grp, size, lo``) of level ``base`` with the siblings to be
-    hashed with on the way through one tier: ``grp, lo, steps``."""
-    levels = F.sequence(F.lit(base + 1), F.least(F.lit(base + TIER), _levels(F.col("size"))))
-    asked = items.filter(F.col("size") > FAN**base).select("grp", "lo", "size", F.explode(levels).alias("level"))
-    asked = asked.withColumn("bucket", _whole(F.col("lo"), _span(F.col("level"))))
-    inner = nodes.filter(F.col("level").between(base + 1, base + TIER)).select(
-        F.col("grp").alias("n_grp"), F.col("level").alias("n_level"), _whole(F.col("lo"), _span(F.col("level"))).alias("n_bucket"),
-        F.col("lo").alias("n_lo"), F.col("hi").alias("n_hi"), "kids")
-    met = asked.join(
-        inner,
-        asked["grp"].eqNullSafe(inner["n_grp"]) & (asked["level"] == inner["n_level"]) & (asked["bucket"] == inner["n_bucket"])
-        & (asked["lo"] >= inner["n_lo"]) & (asked["lo"] < inner["n_hi"]),
-    )
-    width = _span(F.col("level") - 1)
-    start = _whole(F.col("lo"), width) * width  # of the item's own interval one level below the ancestor
-    met = met.withColumn("width", width).withColumn("start", start)
-    left = F.filter("kids", lambda _, i: F.col("n_lo") + (i + 1) * F.col("width") <= F.col("start"))
-    right = F.filter("kids", lambda _, i: F.col("n_lo") + i * F.col("width") >= F.col("start") + F.col("width"))
-    step = F.struct("level", F.array_join(left, "").alias("left"), F.array_join(right, "").alias("right"))
-    return met.groupBy("grp", "lo").agg(F.sort_array(F.collect_list(step)).alias("steps"))  # at most TIER
+        below = _at_level(tiers[-1], base)
+    return tiers
+
 
+def _at_level(tier: DataFrame, level: int) -> DataFrame:
+    """The nodes of a tier that have the level, one a row."""
+    nodes = tier.select("grp", "size", F.explode("nodes").alias("n")).filter(F.col("n.level") == level)
+    return nodes.select("grp", "size", F.col("n.lo").alias("lo"), F.col("n.digest").alias("digest"))
 
-def descend(leaves: DataFrame, nodes: DataFrame, seeds: DataFrame, most: int) -> DataFrame:
+
+def _siblings(node: Column, at: Column) -> Column:
+    """What an ancestor's children cover besides the one that covers rank ``at``, on either side of it."""
+    width = _span(node["level"] - 1)
+
+    def beside(keep) -> Column:
+        return _joined(F.filter(node["kids"], lambda _, i: keep(node["lo"] + i * width, node["lo"] + (i + 1) * width)))
+
+    return F.struct(beside(lambda lo, hi: hi <= at).alias("left"), beside(lambda lo, hi: lo > at).alias("right"))
+
+
+def descend(leaves: DataFrame, tiers: list[DataFrame], seeds: DataFrame) -> DataFrame:
     """``leaves`` with ``path`` and ``subroot``. ``seeds`` gives for each group
-    (``grp, size, subroot, path``) the path that goes on above its root."""
+    (``grp, size, subroot, path``) the path that goes on above its root.
+
+    An item meets the nodes of its tier by the block of its rank; those whose
+    interval contains it are its ancestors there. A block serves FAN**TIER items."""
     none = F.array().cast(_PATH)
-    tiers = [b for b in range(0, 64, TIER) if b == 0 or FAN**b < most]
     above = None
-    for base in reversed(tiers):
-        items = leaves if base == 0 else nodes.filter(F.col("level") == base).select("grp", "size", "lo")
-        items = items.select("grp", "size", F.col("rank").alias("lo")) if base == 0 else items
-        fit = (F.col("size") <= FAN ** (base + TIER)) & (F.lit(True) if base == 0 else F.col("size") > FAN**base)
-        roots = seeds.filter(fit).select("grp", F.lit(0).cast("bigint").alias("lo"), "subroot", "path")
+    for number in reversed(range(max(len(tiers), 1))):
+        base, top = number * TIER, FAN ** ((number + 1) * TIER)
+        ends = (F.col("size") <= top) & (F.lit(True) if number == 0 else F.col("size") > FAN**base)  # groups whose root is in this tier
+        roots = seeds.filter(ends).select("grp", F.lit(0).cast("bigint").alias("lo"), "subroot", "path")
         above = roots if above is None else above.unionByName(roots)
-        above = above.select(F.col("grp").alias("a_grp"), _whole(F.col("lo"), FAN ** (base + TIER)).alias("a_block"), "subroot", F.col("path").alias("rest"))
-        steps = _attached(items, nodes, base).select(F.col("grp").alias("s_grp"), F.col("lo").alias("s_lo"), "steps")
-        if base == 0:
+        above = above.select(F.col("grp").alias("a_grp"), _whole(F.col("lo"), top).alias("a_block"), "subroot", F.col("path").alias("rest"))
+        if tiers:
+            held = tiers[number].select(F.col("grp").alias("t_grp"), F.col("block").alias("t_block"), "nodes")
+            above = above.join(held, above["a_grp"].eqNullSafe(held["t_grp"]) & (above["a_block"] == held["t_block"]), "left")
+        else:
+            above = above.withColumn("nodes", F.lit(None).cast("array<struct<level:int,lo:bigint,hi:bigint,digest:binary,kids:array<binary>>>"))
+        if number == 0:
             items = leaves.withColumn("lo", F.col("rank"))
         else:
-            items = items.filter(F.col("size") > FAN**base)
-        found = items.join(steps, items["grp"].eqNullSafe(steps["s_grp"]) & (items["lo"] == steps["s_lo"]), "left")
-        found = found.withColumn("block", _whole(F.col("lo"), FAN ** (base + TIER)))
-        found = found.join(above, found["grp"].eqNullSafe(above["a_grp"]) & (found["block"] == above["a_block"]))
-        own = F.coalesce(F.transform("steps", lambda s: F.struct(s["left"].alias("left"), s["right"].alias("right"))), none)
+            items = _at_level(tiers[number - 1], base).filter(F.col("size") > FAN**base)
+        items = items.withColumn("block", _whole(F.col("lo"), top))
+        found = items.join(above, items["grp"].eqNullSafe(above["a_grp"]) & (items["block"] == above["a_block"]))
+        ancestors = F.filter("nodes", lambda n: (n["lo"] <= F.col("lo")) & (F.col("lo") < n["hi"]))  # by level
+        own = F.coalesce(F.transform(ancestors, lambda n: _siblings(n, F.col("lo"))), none)
         found = found.withColumn("path", F.concat(own, "rest"))
-        above = found.select("grp", "lo", "subroot", "path") if base else found
-    return above.drop("lo", "block", "s_grp", "s_lo", "steps", "a_grp", "a_block", "rest")
+        above = found.select("grp", "lo", "subroot", "path") if number else found
+    return above.select(*leaves.columns, "subroot", "path")
 
 
-def _roots(leaves: DataFrame, nodes: DataFrame) -> DataFrame:
-    lone = leaves.filter("size = 1").select("grp", "size", "digest")
-    return nodes.filter(F.col("level") == _levels(F.col("size"))).select("grp", "size", "digest").unionByName(lone)
+def _roots(leaves: DataFrame, tiers: list[DataFrame]) -> DataFrame:
+    found = leaves.filter("size = 1").select("grp", "size", "digest")
+    for number, tier in enumerate(tiers):
+        for level in range(number * TIER + 1, (number + 1) * TIER + 1):
+            low, high = FAN ** (level - 1), FAN**level
+            found = found.unionByName(_at_level(tier.filter(F.col("size").between(low + 1, high)), level).drop("lo"))
+    return found
 
 
 def manifest(docs: DataFrame, columns: tuple[str, ...] = ("doc_id", "source", "lang", "n_chars", "text"),
@@ -192,21 +195,20 @@ def manifest(docs: DataFrame, columns: tuple[str, ...] = ("doc_id", "source", "l
     """
     spark = docs.sparkSession
     own = docs.select(
-        F.col(key).alias("own_key"), F.col(group).alias("grp"), leaf_digest(*[F.col(c) for c in columns]).alias("digest"),
+        F.col(key).alias("own_key"), F.col(group).alias("grp"), F.unhex(leaf_digest(*[F.col(c) for c in columns])).alias("digest"),
         *[c.alias(f"carry_{name}") for name, c in (carry or {}).items()])
     leaves = written(ranked(own, "grp", ["own_key", "digest"], "leaves"), "leaves")
     most = leaves.agg(F.max("size")).first()[0] or 0
-    nodes = grow(leaves, most, "nodes")
-    roots = ranked(_roots(leaves, nodes).withColumnRenamed("size", "leaves").withColumn("all", F.lit(0)), "all", ["grp"], "roots")
-    roots = written(roots.withColumnRenamed("grp", "name").withColumnRenamed("all", "grp"), "roots")
+    tiers = grow(leaves, most, "nodes")
+    roots = _roots(leaves, tiers).withColumnRenamed("size", "leaves").withColumn("all", F.lit(0))
+    roots = written(ranked(roots, "all", ["grp"], "roots").withColumnRenamed("grp", "name").withColumnRenamed("all", "grp"), "roots")
     many = roots.agg(F.max("size")).first()[0] or 0
     upper = grow(roots, many, "upper-nodes")
-    (root, *_) = [r[0] for r in _roots(roots, upper).select("digest").take(1)] or [None]
-    start = spark.createDataFrame([(0, many, root, [])], f"grp int, size bigint, subroot string, path {_PATH}")
+    (root, *_) = [bytes(r[0]) for r in _roots(roots, upper).select("digest").take(1)] or [None]
+    start = spark.createDataFrame([(0, many, [])], f"grp int, size bigint, path {_PATH}").withColumn("subroot", F.lit(root).cast("binary"))
     seeds = written(
-        descend(roots, upper, start, many)
-        .select(F.col("name").alias("grp"), F.col("leaves").alias("size"), F.col("digest").alias("subroot"), "path"), "seeds")
-    found = descend(leaves, nodes, seeds, most)
-    return found.select(
-        F.col("own_key").alias(key), F.col("grp").alias(group), F.col("digest").alias("leaf"), "subroot",
-        F.lit(root).cast("string").alias("root"), "path", *[F.col(f"carry_{name}").alias(name) for name in carry or {}])
+        descend(roots, upper, start).select(F.col("name").alias("grp"), F.col("leaves").alias("size"), F.col("digest").alias("subroot"), "path"), "seeds")
+    path = F.transform("path", lambda s: F.struct(_text(s["left"]).alias("left"), _text(s["right"]).alias("right")))
+    return descend(leaves, tiers, seeds).select(
+        F.col("own_key").alias(key), F.col("grp").alias(group), _text(F.col("digest")).alias("leaf"), _text(F.col("subroot")).alias("subroot"),
+        _text(F.lit(root).cast("binary")).alias("root"), path.alias("path"), *[F.col(f"carry_{name}").alias(name) for name in carry or {}])

@@ -226,9 +226,9 @@ SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path,
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ("doc_id", "source", "lang", "n_chars", "text")
     tampered = merkle.leaf_digest(*[F.translate(c, "\n", "") if c == "text" else F.col(c) for c in columns])
-    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, tampered)
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.unhex(tampered))
     found = merkle.manifest(table(spark, sf_dir, "documents"), columns, "source", "doc_id", carry={"tampered": tampered})
-    found = found.withColumn("folded_root", merkle.fold(F.coalesce("tampered", "leaf"), F.col("path")))
+    found = found.withColumn("folded_root", merkle.fold(F.coalesce(F.lower(F.hex("tampered")), "leaf"), F.col("path")))
     return found.select(
         "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
         "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
