@@ -70,15 +70,39 @@ def test_null_key_parts_match_each_other(spark, tmp_path):
     assert tb.read_table(spark, path).count() == 2
 
 
-def test_many_days_fall_back_to_a_range(spark, tmp_path, monkeypatch):
+@pytest.mark.parametrize("listed", [1, 5000])
+def test_any_number_of_days_is_met(spark, tmp_path, monkeypatch, listed):
+    monkeypatch.setattr(tb, "_LISTED", listed)
     path = str(tmp_path / "m")
-    rows = spark.range(40).selectExpr("id", "date_add(date'2024-01-01', cast(id as int)) as day")
+    rows = spark.range(40).selectExpr("id", "CASE WHEN id % 7 > 0 THEN date_add(date'2024-01-01', cast(id as int)) END as day")
     tb.merge_insert_only(rows.filter("id < 30"), path, ("id",), "day")
-    monkeypatch.setattr(tb, "_DAY_LIST", 5)
     assert tb.merge_insert_only(rows, path, ("id",), "day") == 10
     assert tb.read_table(spark, path).distinct().count() == 40
 
 
+@pytest.mark.parametrize("listed", [1, 5000])
+def test_an_upsert_changes_only_its_folders(spark, tmp_path, monkeypatch, listed):
+    """Two days of the batch, two folders changed, however many days may be named in a filter."""
+    monkeypatch.setattr(tb, "_LISTED", listed)
+    path = str(tmp_path / "u")
+    rows = spark.range(40).selectExpr("id", "date_add(date'2024-01-01', cast(id as int)) as day", "0 as n")
+    tb.merge_upsert(rows, path, ("id",), "day")
+    files = lambda: {p.name: {f.name for f in p.glob("*.parquet")} for p in (tmp_path / "u").iterdir() if "=" in p.name}
+    before = files()
+    assert tb.merge_upsert(rows.filter("id IN (3, 31)").withColumn("n", rows["n"] + 1), path, ("id",), "day") == 2
+    after = files()
+    assert len(before) == 40 and {d for d in before if before[d] != after[d]} == {"day=2024-01-04", "day=2024-02-01"}
+    assert contents(spark, path, "id", "n") == sorted([(i, int(i in (3, 31))) for i in range(40)], key=repr)
+    assert [p.name for p in (tmp_path / "u").iterdir() if p.name.startswith("_merge")] == []
+
+
+def test_upsert_of_rows_without_a_day(spark, tmp_path):
+    path = str(tmp_path / "u")
+    tb.merge_upsert(frame(spark, (1, None, None, "old", 1), (2, "b", D1, "kept", 1)), path, KEYS, "day")
+    tb.merge_upsert(frame(spark, (1, None, None, "new", 2), (3, None, None, "more", 2)), path, KEYS, "day")
+    assert contents(spark, path, "user_id", "note") == [(1, "new"), (2, "kept"), (3, "more")]
+
+
 def test_merge_of_nothing(spark, tmp_path):
     path = str(tmp_path / "m")
     assert tb.merge_insert_only(frame(spark), path, KEYS, "day") == 0
@@ -99,20 +123,26 @@ def test_upsert_updates_inserts_and_leaves_other_days(spark, tmp_path):
     assert far == [p.name for p in (tmp_path / "u" / "day=2024-01-02").glob("*.parquet")]
 
 
-def test_interrupted_upsert_is_finished_by_the_next(spark, tmp_path, monkeypatch):
-    path = str(tmp_path / "u")
-    tb.merge_upsert(frame(spark, (1, "a", D1, "old", 1), (2, "b", D1, "kept", 1)), path, KEYS, "day")
-    # The stage is written, then the driver dies while the day is being replaced.
-    removed = []
-    monkeypatch.setattr(tb, "_remove", lambda s, p: removed.append(p))
-    tb.merge_upsert(frame(spark, (1, "a", D1, "new", 2)), path, KEYS, "day")
-    for file in (tmp_path / "u" / "day=2024-01-01").iterdir():
-        file.unlink()
+@pytest.mark.parametrize("moved", [0, 1, 2])
+def test_interrupted_upsert_is_finished_by_the_next(spark, tmp_path, monkeypatch, moved):
+    """The stage is written, then the driver dies: before any rename, between the
+    two of a day, or between two days."""
+    path, folder = str(tmp_path / "u"), tmp_path / "u"
+    tb.merge_upsert(frame(spark, (1, "a", D1, "old", 1), (2, "b", D1, "kept", 1), (3, "c", D2, "far", 1)), path, KEYS, "day")
+    monkeypatch.setattr(tb, "_put_in_place", lambda *args: None)
+    tb.merge_upsert(frame(spark, (1, "a", D1, "new", 2), (4, "c", D2, "more", 2)), path, KEYS, "day")
     monkeypatch.undo()
-    spark.catalog.clearCache()
+    assert contents(spark, path, "user_id", "note") == [(1, "old"), (2, "kept"), (3, "far")]
+    (stage,) = (p for p in folder.iterdir() if p.name.startswith("_merge-"))
+    if moved:
+        (stage / "_replaced").mkdir()
+        (folder / "day=2024-01-01").rename(stage / "_replaced" / "day=2024-01-01")
+    if moved == 2:
+        (stage / "day=2024-01-01").rename(folder / "day=2024-01-01")
+    (folder / "_merge-unfinished").mkdir()  # of another that died while it wrote
     tb.merge_upsert(frame(spark, (9, "z", D2, "next", 3)), path, KEYS, "day")
-    assert contents(spark, path, "user_id", "note") == [(1, "new"), (2, "kept"), (9, "next")]
-    assert not (tmp_path / "u" / "_merge-stage").exists()
+    assert contents(spark, path, "user_id", "note") == [(1, "new"), (2, "kept"), (3, "far"), (4, "more"), (9, "next")]
+    assert [p.name for p in folder.iterdir() if p.name.startswith("_merge")] == []
 
 
 def test_count_comes_from_the_write(spark, tmp_path):

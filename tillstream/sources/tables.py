@@ -7,16 +7,18 @@ Three layouts are used.
   mark is the table. A reader never meets a half-written table and a failed
   job leaves the last good version in place.
 * *Appended* (Silver clicks): partitioned by day, grown by insert-only merges.
-* *Upserted* (rolling table): partitioned by day, touched days are rewritten.
-
-``fmt`` may name another installed file format with the same writer options.
+* *Upserted* (rolling table): partitioned by hour, touched hours are rewritten.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ..functions import null_safe_keys
 from ..session import scratch
@@ -129,20 +131,22 @@ def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str
 
 # --- merges --------------------------------------------------------------------
 
-_DAY_LIST = 2000  # beyond this many days a range is cheaper to plan than a list
+_LISTED = 5_000  # partitions named in a filter; more are met by a semi-join
 
 
-def _days_touched(batch: DataFrame, partition: str):
-    """Predicate for the table's days that can hold a key of ``batch``. It is a
-    plain partition filter, so other days are not even listed as input."""
-    day = F.col(partition)
-    days = [r[0] for r in batch.select(partition).distinct().limit(_DAY_LIST + 1).collect()]
-    if len(days) > _DAY_LIST:
-        low, high = batch.agg(F.min(partition), F.max(partition)).first()
-        return day.between(low, high) | day.isNull()
-    known = [d for d in days if d is not None]
-    touched = day.isin(known) if known else F.lit(False)
-    return touched | day.isNull() if None in days else touched
+def _touched(table: DataFrame, partition: str, values: Sequence) -> DataFrame:
+    """The rows of ``table`` in the partitions ``values``, of any number. Other
+    partitions are not read: a filter names a few, a join prunes for many."""
+    column, known = F.col(partition), [v for v in values if v is not None]
+    if len(known) <= _LISTED:
+        named = column.isin(known) if known else F.lit(False)
+        return table.filter(named | column.isNull() if len(known) < len(values) else named)
+    spark = table.sparkSession
+    kind = table.schema[partition].dataType
+    wanted = spark.createDataFrame([(v,) for v in known], StructType([StructField("_value", kind)]))
+    wanted = wanted.filter(F.col("_value") >= F.lit(min(known)))  # a filter makes Spark prune the other side by the values
+    some = table.join(F.broadcast(wanted), column == F.col("_value"), "left_semi")
+    return some.unionByName(table.filter(column.isNull())) if len(known) < len(values) else some
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -172,7 +176,8 @@ def merge_insert_only(df: DataFrame, path: str, keys: Sequence[str], partition:
     batch = spark.read.format(fmt).load(batch_path)
     fresh = batch
     if table_exists(spark, path):
-        table = read_table(spark, path, fmt).filter(_days_touched(batch, partition))
+        days = [r[0] for r in batch.select(partition).distinct().collect()]  # a row per folder of the batch
+        table = _touched(read_table(spark, path, fmt), partition, days)
         fresh = batch.alias("new").join(
             table.select(*keys).alias("old"), null_safe_keys("new", "old", keys), "left_anti"
         )
@@ -181,43 +186,93 @@ def merge_insert_only(df: DataFrame, path: str, keys: Sequence[str], partition:
     return rows
 
 
-def merge_upsert(df: DataFrame, path: str, keys: Sequence[str], partition: str,
-                 fmt: str = "parquet") -> int:
-    """Update rows with a matching key, insert the others; returns rows merged.
+_STAGE = "_merge-"
+_FILE_BYTES = 128 << 20
 
-    ``partition`` must follow from the key, ``df`` must hold one row per key.
-    Only days that occur in the batch are read and rewritten. The new content of
-    those days is staged first and then put in place: when a driver dies in
-    between, the next merge finds the finished stage and puts it in place again
-    before going on, so no kept row is lost and a replayed batch changes nothing.
-    """
-    spark = df.sparkSession
-    stage = f"{path.rstrip('/')}/_merge-stage"
 
-    def put_in_place() -> None:
-        (spark.read.format(fmt).load(stage)
-         .hint("rebalance", partition)
-         .write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(partition).save(path))
-        _remove(spark, stage)
+def _folders(spark: SparkSession, path: str) -> dict[str, str]:
+    """Partition folders directly under ``path``, by name."""
+    fs, target = _fs(spark, path)
+    if not fs.exists(target):
+        return {}
+    found = [s.getPath() for s in fs.listStatus(target) if s.isDirectory() and "=" in s.getPath().getName()]
+    return {p.getName(): p.toString() for p in found}
+
+
+def _spread(spark: SparkSession, path: str, partition: str, values: Sequence) -> int:
+    """Files that the largest of the touched partitions should have."""
+    fs, whole = _fs(spark, path)
+    if fs.getContentSummary(whole).getLength() <= _FILE_BYTES:
+        return 1
+    names = {f"{partition}={v}" for v in values}
+    sizes = [fs.getContentSummary(_fs(spark, p)[1]).getLength() for n, p in _folders(spark, path).items() if unquote(n) in names]
+    return max([1, *(-(-size // _FILE_BYTES) for size in sizes)])
+
+
+def _put_in_place(spark: SparkSession, path: str, stage: str) -> None:
+    """Exchange the table's folders for those of a finished stage. Each is two
+    renames; what was moved already is no longer in the stage."""
+    fs, table = _fs(spark, path)
+    aside = _fs(spark, f"{stage}/_replaced")[1]
+    fs.mkdirs(aside)
+    old, new = _folders(spark, path), _folders(spark, stage)
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+
+    def exchange(name: str) -> None:
+        if name in old:
+            fs.rename(Path(old[name]), aside.suffix("/" + name))
+        fs.rename(Path(new[name]), table.suffix("/" + name))
+
+    with ThreadPoolExecutor(16) as pool:
+        list(pool.map(exchange, new))
+    _remove(spark, stage)
+
+
+def _recover(spark: SparkSession, path: str) -> None:
+    """Finish what a merge had written whole before its driver died; drop the rest."""
+    fs, target = _fs(spark, path)
+    if not fs.exists(target):
+        return
+    for found in fs.listStatus(target):
+        stage = found.getPath().toString()
+        if found.getPath().getName().startswith(_STAGE):
+            if path_exists(spark, f"{stage}/{_MARK}"):
+                _put_in_place(spark, path, stage)
+            else:
+                _remove(spark, stage)
+
 
-    if path_exists(spark, f"{stage}/{_MARK}"):
-        put_in_place()
+def merge_upsert(df: DataFrame, path: str, keys: Sequence[str], partition: str) -> int:
+    """Update rows with a matching key, insert the others; returns rows merged.
 
+    ``partition`` must follow from the key, ``df`` must hold one row per key, and
+    one merge at a time may run on a table. Only partitions that occur in the
+    batch are read. Their new content is written once, beside the table, and takes
+    the place of the old by renames, so a reader meets a partition either as it
+    was or as it is. When a driver dies in between, the next merge finds the
+    finished stage and goes on with it; an unfinished one it drops. A replayed
+    batch changes nothing.
+    """
+    spark = df.sparkSession
+    _recover(spark, path)
     batch = df.persist()  # read twice; a lost block is recomputed
     try:
-        rows = batch.count()
-        if not rows:
+        sizes = {r[0]: r[1] for r in batch.groupBy(partition).count().collect()}  # a row per folder that will be renamed
+        if not sizes:
             return 0
-        merged = batch
-        if table_exists(spark, path):
-            table = read_table(spark, path, fmt).filter(_days_touched(batch, partition))
-            kept = table.alias("old").join(
+        merged, exists = batch, table_exists(spark, path)
+        if exists:
+            old = _touched(read_table(spark, path), partition, list(sizes))
+            kept = old.alias("old").join(
                 batch.select(*keys).alias("new"), null_safe_keys("old", "new", keys), "left_anti"
             )
             merged = kept.unionByName(batch)
-        merged.write.format(fmt).mode("overwrite").save(stage)
+        # As many tasks as folders, up to the session's width: small folders are written side by side, large ones by several tasks.
+        spread = F.pmod(F.xxhash64(*keys), F.lit(_spread(spark, path, partition, list(sizes)) if exists else 1))
+        tasks = min(len(sizes), 4 * spark.sparkContext.defaultParallelism)
+        stage = f"{path.rstrip('/')}/{_STAGE}{uuid.uuid4().hex[:12]}"
+        merged.repartition(tasks, partition, spread).write.partitionBy(partition).parquet(stage)
     finally:
         batch.unpersist()
-    put_in_place()
-    return int(rows)
+    _put_in_place(spark, path, stage)
+    return sum(sizes.values())
