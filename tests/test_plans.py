@@ -38,7 +38,7 @@ def test_only_touched_days_are_read(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = spark.range(40).selectExpr("id", "date_add(date'2024-01-01', cast(id as int)) as day")
     tb.merge_insert_only(rows, path, ("id",), "day")
-    kept = tb._touched(tb.read_table(spark, path), "day", [r.day for r in rows.filter("id in (3, 7)").select("day").collect()])
+    kept = tb.rows_of_partitions(tb.read_table(spark, path), "day", [r.day for r in rows.filter("id in (3, 7)").select("day").collect()])
     assert re.search(r"PartitionFilters: \[[^]]*day", plan(kept))
     assert len(kept.inputFiles()) >= 1 and kept.count() == 2
 

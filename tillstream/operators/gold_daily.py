@@ -53,8 +53,8 @@ def pair_days(clicks: DataFrame) -> DataFrame:
         *_kinds(), _sketch("session_id").alias("sessions"), F.max(implicit_rating(kind)).alias("rating"), F.max("event_ts").alias("last"))
 
 
-def stock_days(inventory: DataFrame, order: tuple[str, ...]) -> DataFrame:
-    """Latest stock and price of the day with their place in the order, and the
+def stock_days(inventory: DataFrame, order: tuple[str, ...], span: str = DAY) -> DataFrame:
+    """Latest stock and price of the day (or other ``span``) with their place in the order, and the
     price history as count, mean and squared deviation, which merge exactly."""
     kind, key = F.col("event_type"), F.struct(*order)
     price = F.when(kind == "price_change", F.col("new_price"))
@@ -65,7 +65,7 @@ def stock_days(inventory: DataFrame, order: tuple[str, ...]) -> DataFrame:
 
     return (
         inventory.filter(kind.isin("stock_level", "price_change"))
-        .groupBy(DAY, "item_id")
+        .groupBy(span, "item_id")
         .agg(
             *latest(kind == "stock_level", STOCK_COLUMNS, "stock"), *latest(kind == "price_change", PRICE_COLUMNS, "price"),
             F.count_if(kind == "price_change").alias("changes"), F.count(price).alias("prices"), F.avg(price).alias("mean"),

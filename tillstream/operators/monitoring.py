@@ -138,6 +138,30 @@ def latency_quantiles(requests: DataFrame, ts_col: str = "ts", seconds: int = 30
     )
 
 
+KLL_SIZE = 200     # ranks within KLL_ERROR of the requests, at 99 % confidence, whatever is merged
+KLL_ERROR = 0.0165
+
+
+def latency_sketches(requests: DataFrame, ts_col: str = "ts", seconds: int = 300) -> DataFrame:
+    """A quantile sketch of ``latency_s`` per endpoint and window, of a size that
+    does not grow with the traffic: ``window_start, window_end, endpoint, requests, sketch``."""
+    latency = F.col("latency_s").cast("double")
+    made = requests.groupBy(_span(ts_col, seconds), "endpoint").agg(
+        F.count(latency).alias("requests"), F.kll_sketch_agg_double(latency, KLL_SIZE).alias("sketch"))
+    return _flat(made)
+
+
+def latency_over(sketches: DataFrame, seconds: int = 3600, quantiles: dict[str, float] | None = None) -> DataFrame:
+    """Quantiles over longer windows (``seconds``, a multiple of the stored ones),
+    from stored sketches alone. Windows without a latency have NULLs."""
+    merged = sketches.groupBy(_span("window_start", seconds), "endpoint").agg(
+        F.sum("requests").alias("requests"), F.kll_merge_agg_double("sketch", KLL_SIZE).alias("sketch"))
+    ranks = quantiles or {"p50": 0.5, "p99": 0.99}
+    some = F.col("requests") > 0
+    return _flat(merged.select("window", "endpoint", "requests", *[
+        F.when(some, F.kll_sketch_get_quantile_double("sketch", F.lit(q))).alias(name) for name, q in ranks.items()]))
+
+
 def ctr_drift(clicks: DataFrame, threshold: float = CTR_THRESHOLD, ts_col: str = "event_ts",
               hours: int | None = 1, as_of: datetime | None = None) -> DataFrame:
     """Whether carts per view fell below ``threshold`` over the last ``hours``

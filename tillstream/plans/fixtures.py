@@ -15,10 +15,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = table(spark, sf_dir, "events").schema
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as a stream of its files."""
+    schema = table(spark, sf_dir, name).schema
     # The file source wants a folder or a glob.
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet")
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name[:-1]}[{name[-1]}].parquet")
+
+
+def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table_stream(spark, sf_dir, "events")
 
 
 # --- clicks ----------------------------------------------------------------------
@@ -87,7 +92,7 @@ def click_log_of(events: DataFrame) -> DataFrame:
 # --- inventory ---------------------------------------------------------------------
 
 
-def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+def inventory(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     """Stock, price and restock events; some items lack stock or price events."""
     flag, item = F.col("l_returnflag"), F.col("l_partkey")
     kind = F.when(flag == "N", "stock_level").when(flag == "R", "price_change").otherwise("restock")
@@ -95,7 +100,7 @@ def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.col("p_retailprice")
     new_price = price * (1 - F.col("l_discount") + F.col("l_tax"))
     is_stock, is_price, is_restock = flag == "N", flag == "R", ~flag.isin("N", "R")
-    lines = table(spark, sf_dir, "lineitem").filter(
+    lines = (table(spark, sf_dir, "lineitem") if lines is None else lines).filter(
         ~((flag == "N") & (item % 7 == 0)) & ~((flag == "R") & (item % 5 == 0))
     )
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_retailprice")
@@ -112,21 +117,23 @@ def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
         iso_text(ts).alias("timestamp"),
         ts.alias("event_ts"),
         F.col("l_orderkey").alias("tie"),
+        F.pmod(F.xxhash64("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate"),
+               F.lit(1_000_000)).alias("line"),
     )
 
 
 INVENTORY_ORDER = ("event_ts", "tie")
 
 
-def inventory_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = inventory(spark, sf_dir)
-    payload = F.to_json(F.struct(*[c for c in rows.columns if c not in ("event_ts", "tie")]))
+def inventory_records(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    rows = inventory(spark, sf_dir, lines)
+    payload = F.to_json(F.struct(*[c for c in rows.columns if c not in ("event_ts", "tie", "line")]))
     return rows.select(
         F.col("item_id").cast("string").cast("binary").alias("key"),
         payload.cast("binary").alias("value"),
         F.lit("inventory").alias("topic"),
         F.pmod("item_id", F.lit(3)).cast("int").alias("partition"),
-        F.col("tie").alias("offset"),
+        (F.col("tie") * 1_000_000 + F.col("line")).alias("offset"),
         F.col("event_ts").alias("timestamp"),
     )
 
@@ -134,7 +141,7 @@ def inventory_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- user events -------------------------------------------------------------------
 
 
-def user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def user_events(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
     """Session events from orders; the device is unknown for some of them."""
     status, key = F.col("o_orderstatus"), F.col("o_orderkey")
     kind = F.when(status == "O", "session_start").when(status == "F", "session_end").otherwise("page_view")
@@ -147,7 +154,8 @@ def user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(table(spark, sf_dir, "region").select("r_regionkey", "r_name"),
               F.col("n_regionkey") == F.col("r_regionkey"))
     )
-    return table(spark, sf_dir, "orders").join(people, F.col("o_custkey") == F.col("c_custkey")).select(
+    orders = table(spark, sf_dir, "orders") if orders is None else orders
+    return orders.join(people, F.col("o_custkey") == F.col("c_custkey")).select(
         kind.alias("event_type"),
         F.col("o_custkey").alias("user_id"),
         key.cast("string").alias("session_id"),
@@ -160,8 +168,8 @@ def user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def user_event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = user_events(spark, sf_dir)
+def user_event_records(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
+    rows = user_events(spark, sf_dir, orders)
     payload = F.to_json(F.struct(*[c for c in rows.columns if c != "event_ts"]))
     return rows.select(
         F.col("user_id").cast("string").cast("binary").alias("key"),
@@ -179,6 +187,15 @@ def records(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
     return {"inventory": inventory_records, "user_events": user_event_records}[topic](spark, sf_dir)
 
 
+def record_streams(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The records of the three topics as streams."""
+    return {
+        "clickstream": click_records(events_stream(spark, sf_dir)),
+        "inventory": inventory_records(spark, sf_dir, table_stream(spark, sf_dir, "lineitem")),
+        "user_events": user_event_records(spark, sf_dir, table_stream(spark, sf_dir, "orders")),
+    }
+
+
 def bronze(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
     return bronze_envelope(records(spark, sf_dir, topic), topic)
 

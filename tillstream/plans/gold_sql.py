@@ -139,6 +139,20 @@ def gold_catalog(spark: SparkSession) -> DataFrame:
     )
 
 
+def session_catalog(session: SparkSession) -> DataFrame:
+    """The views of a Gold session as its catalogue has them, one row per column:
+    all columns that can be asked for, with their types; ``published`` says
+    whether users are told of the column."""
+    rows = []
+    for view in (t.name for t in session.catalog.listTables() if t.isTemporary):
+        description, told = GOLD.get(view, ("", []))
+        for position, column in enumerate(session.catalog.listColumns(view), start=1):
+            rows.append((view, description, position, column.name, column.dataType, column.name in told))
+    return session.createDataFrame(
+        rows, "table_name string, description string, position int, column_name string, data_type string, published boolean"
+    )
+
+
 # --- example questions ----------------------------------------------------------------
 
 

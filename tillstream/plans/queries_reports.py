@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ..ml import price_model, recommender
+from ..ml import price_model, recommender, topn
 from ..operators import explore, monitoring, pricing, ranking, runs, serving, subsets
 from ..session import scratch
 from ..sources.files import read_click_log, write_csv
@@ -539,6 +539,29 @@ def recommend_top_n(spark: SparkSession, sf: str) -> DataFrame:
     return found.join(items, "item_id", "left").select("user_id", "position", usable.alias("usable"))
 
 
+def _place_counts_sql() -> str:
+    return ", ".join(f"count(*) FILTER (WHERE l_linenumber % 7 = {n})" for n in range(7))
+
+
+@query("top_n_all_users", f"""
+    WITH lines AS (SELECT o_custkey, l_partkey, l_linenumber FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+    users AS (SELECT o_custkey AS user_id, [{_place_counts_sql()}] AS v FROM lines GROUP BY o_custkey),
+    items AS (SELECT l_partkey AS item_id, [{_place_counts_sql()}] AS v FROM lines GROUP BY l_partkey),
+    scored AS (SELECT user_id, item_id, CAST(list_sum(list_transform(list_zip(users.v, items.v), lambda p: p[1] * p[2])) AS DOUBLE) AS score
+               FROM users, items)
+    SELECT user_id, CAST(n - 1 AS INTEGER) AS position, item_id, score FROM (
+      SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS n FROM scored) WHERE n <= 10""")
+def top_n_all_users(spark: SparkSession, sf: str) -> DataFrame:
+    """The ten parts of highest product for every customer: vectors are counts of
+    lines by place in the order, so that SQL can form all products. The search
+    leaves out what cannot reach a list."""
+    lines = fx.table(spark, sf, "lineitem").join(fx.table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    counts = F.array(*[F.count_if(F.col("l_linenumber") % 7 == n).cast("float") for n in range(7)]).alias("features")
+    users, items = (lines.groupBy(F.col(c).cast("int").alias("id")).agg(counts) for c in ("o_custkey", "l_partkey"))
+    found = topn.as_rows(topn.best_items(users, items, 10))
+    return found.select(F.col("user_id").cast("bigint").alias("user_id"), "position", F.col("item_id").cast("bigint").alias("item_id"), "score")
+
+
 _USERS_FROM, _ITEMS_FROM = 5_000_000_000, 6_000_000_000
 
 
@@ -567,3 +590,27 @@ def predict_price(spark: SparkSession, sf: str) -> DataFrame:
     rows = pricing.pricing_dataset_gold(products(spark, sf))
     found = price_model.predict_price(price_model.fit_gbt(rows, **price_model.GRID[0]), rows)
     return found.select("item_id", "target_price", ((F.col("prediction") > 0) & ~F.isnan("prediction")).alias("usable"))
+
+
+@query("latency_any_span", """
+    SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
+           event_type AS endpoint, count(value) AS requests, TRUE AS p50_holds, TRUE AS p99_holds
+    FROM events GROUP BY 1, 2, 3""")
+def latency_any_span(spark: SparkSession, sf: str) -> DataFrame:
+    """Hours from five-minute sketches; whether each quantile's true rank is within the sketch's bound."""
+    requests = fx.request_log(spark, sf)
+    path = scratch(spark, "sketches")
+    monitoring.latency_sketches(requests).write.parquet(path)
+    hours = monitoring.latency_over(spark.read.parquet(path), 3600)
+    own = requests.select(F.window("ts", "3600 seconds").alias("w"), "endpoint", "latency_s")
+    own = own.select(F.col("w.start").alias("window_start"), "endpoint", "latency_s")
+    joined = hours.join(own, ["window_start", "endpoint"])
+
+    def holds(name: str, q: float):
+        low, high = F.count_if(F.col("latency_s") < F.col(name)), F.count_if(F.col("latency_s") <= F.col(name))
+        slack = F.count("latency_s") * monitoring.KLL_ERROR + 1
+        return ((low <= F.count("latency_s") * q + slack) & (high >= F.count("latency_s") * q - slack)).alias(f"{name}_holds")
+
+    found = joined.groupBy("window_start", "window_end", "endpoint").agg(
+        F.max("requests").alias("requests"), holds("p50", 0.5), holds("p99", 0.99))
+    return plain_times(found)

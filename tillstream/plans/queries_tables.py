@@ -4,20 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .. import schemas
 from ..functions import implicit_rating
 from ..operators import gold, silver
 from ..operators.monitoring import live_ctr
 from ..operators.rolling import rolling_item_ctr
 from ..session import scratch
-from ..sources.files import csv_backfill, read_click_log, write_csv
+from ..sources.files import csv_backfill, read_click_log, read_csv_checked, write_csv
 from ..sources.tables import (
     merge_insert_only, merge_upsert, overwrite_table, read_optional, read_table,
 )
 from ..streaming import live
-from ..streaming.bronze import bronze_stream, start_append
-from ..streaming.rolling import KEYS, click_records as parsed_records, hour_of, start_rolling
+from ..streaming.bronze import ARRIVAL_DAY, await_all, bronze_stream, bronze_streams, start_append
+from ..streaming.reports import StreamReports, counted
+from ..streaming.rolling import KEYS, click_records as parsed_records, hour_of, read_windows, start_panes, start_rolling
 from . import fixtures as fx, gold_sql as gs
-from .nightly import CLICK_KEY, nightly
+from .nightly import CLICK_KEY, GOLD_TABLES, nightly, nightly_since
 from .registry import plain_times, query, rounded
 
 # --- sources and Bronze -------------------------------------------------------------
@@ -421,3 +423,172 @@ def gold_sql_own_limit(spark: SparkSession, sf: str) -> DataFrame:
     session = gs.gold_session(spark, lambda s: gs.gold_tables(s, folder))
     return gs.gold_sql(session, "SELECT user_id, item_id, interaction_count FROM user_item_interactions "
                                 "ORDER BY interaction_count DESC, user_id, item_id LIMIT 500")
+
+
+# --- nights that read only new arrivals ------------------------------------------------------------
+
+
+@query("nightly_since", """
+    SELECT 'interactions' AS table_name, user_id AS k1, item_id AS k2, CAST(rating AS BIGINT) AS n1, interaction_count AS n2,
+           CAST(has_carted AS BIGINT) AS n3, CAST(has_purchased AS BIGINT) AS n4, last_interaction AS text FROM interactions
+    UNION ALL SELECT 'products', item_id, NULL, total_events, view_count, cart_count, coalesce(num_price_changes, 0),
+           coalesce(category, '') FROM product_features
+    UNION ALL SELECT 'users', user_id, NULL, total_actions, total_views, total_carts, total_purchases, first_seen || ' ' || last_seen
+    FROM user_profiles
+    UNION ALL SELECT 'runs', NULL, NULL, 1, 1, NULL, NULL, name FROM (VALUES ('pricing'), ('recommender')) r(name)""")
+def nightly_since_query(spark: SparkSession, sf: str) -> DataFrame:
+    """Three nights over records that came in on two days, the third without news;
+    both models in the second. Gold as it then is, without the estimated counts."""
+    base = scratch(spark, "since")
+    runs = []
+    for number, day in enumerate(("2024-03-01", "2024-03-02", None)):
+        for topic in schemas.TOPICS if day else ():
+            rows = fx.bronze(spark, sf, topic).filter(F.pmod(F.xxhash64("offset", "raw_value"), F.lit(4)) == 0 if number else F.pmod(F.xxhash64("offset", "raw_value"), F.lit(4)) > 0)
+            rows.withColumn(ARRIVAL_DAY, F.lit(day).cast("date")).write.mode("append").partitionBy(ARRIVAL_DAY).parquet(f"{base}/bronze/{topic}")
+        models = f"{base}/models" if number else None
+        done = nightly_since(spark, f"{base}/bronze", f"{base}/silver", f"{base}/gold", models, num_runs=1,
+                             recommender_grid=({"rank": 4, "maxIter": 4, "regParam": 0.1},), price_grid=({"maxIter": 4, "maxDepth": 3},))
+        runs += [(k.removeprefix("runs_"), v) for k, v in done.items() if k.startswith("runs_")]
+    table = {name: read_table(spark, f"{base}/gold/{name}") for name in GOLD_TABLES}
+    whole = lambda c: F.col(c).cast("bigint")
+    none = F.lit(None).cast("bigint")
+
+    def part(name: str, rows: DataFrame, *columns) -> DataFrame:
+        names = ("k1", "k2", "n1", "n2", "n3", "n4", "text")
+        return rows.select(F.lit(name).alias("table_name"), *[c.alias(n) for c, n in zip(columns, names)])
+
+    products = table["product_features"]
+    return (
+        part("interactions", table["user_item_interactions"], whole("user_id"), whole("item_id"), whole("rating"), whole("interaction_count"),
+             whole("has_carted"), whole("has_purchased"), F.col("last_interaction"))
+        .unionByName(part("products", products, whole("item_id"), none, whole("total_events"), whole("view_count"), whole("cart_count"),
+                          F.coalesce(whole("num_price_changes"), F.lit(0)), F.coalesce("category", F.lit(""))))
+        .unionByName(part("users", table["user_profiles"], whole("user_id"), none, whole("total_actions"), whole("total_views"),
+                          whole("total_carts"), whole("total_purchases"), F.concat_ws(" ", "first_seen", "last_seen")))
+        .unionByName(part("runs", spark.createDataFrame(runs, "name string, n bigint"), none, none, whole("n"), whole("n"), none, none, F.col("name")))
+    )
+
+
+@query("rolling_item_ctr_sketched", "SELECT * FROM rolling")
+def rolling_item_ctr_sketched(spark: SparkSession, sf: str) -> DataFrame:
+    """User sketches per pane, merged into windows. Windows of up to some hundred
+    users come out exact; beyond that the estimate is within 1.6 % (one standard deviation)."""
+    return plain_times(rolling_item_ctr(fx.clicks(spark, sf), exact=False))
+
+
+@query("rolling_item_ctr_panes", "SELECT * FROM rolling")
+def rolling_item_ctr_panes(spark: SparkSession, sf: str) -> DataFrame:
+    """The stream keeps panes; windows are made of them where they are read."""
+    path = scratch(spark, "panes")
+    start_panes(_click_stream(spark, sf), path, scratch(spark, "ckpt"), every=None).awaitTermination()
+    return plain_times(read_windows(spark, path))
+
+
+# --- three topics, running figures, reports of streams -----------------------------------------------
+
+
+@query("bronze_all_topics", """
+    SELECT 'clickstream' AS topic, CAST(user_id % 3 AS INTEGER) AS "partition", event_id AS "offset", ts AS kafka_timestamp FROM events
+    UNION ALL SELECT 'user_events', CAST(user_id % 3 AS INTEGER), CAST(session_id AS BIGINT), event_ts FROM user_events
+    UNION ALL SELECT 'inventory', CAST(item_id % 3 AS INTEGER), tie, event_ts FROM inventory""")
+def bronze_all_topics(spark: SparkSession, sf: str) -> DataFrame:
+    """Three streams side by side, each with its table by arrival day. Inventory
+    shows the order's number in place of the offset made of it."""
+    base = scratch(spark, "bronze")
+    await_all(spark, bronze_streams(fx.record_streams(spark, sf), base, scratch(spark, "ckpt"), every=None))
+    place = F.when(F.col("topic") == "inventory", F.floor(F.col("offset") / 1_000_000)).otherwise(F.col("offset"))
+    parts = [read_table(spark, f"{base}/{t}").select("topic", "partition", place.alias("offset"), "kafka_timestamp") for t in schemas.TOPICS]
+    return plain_times(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+
+
+@query("throughput_all_topics", """
+    SELECT *, messages / 10 AS per_second FROM (
+      SELECT time_bucket(INTERVAL 10 SECOND, arrived) AS window_start,
+             time_bucket(INTERVAL 10 SECOND, arrived) + INTERVAL 10 SECOND AS window_end, topic, count(*) AS messages
+      FROM arrivals GROUP BY 1, 2, topic)
+    WHERE window_end <= (SELECT date_trunc('millisecond', max(arrived)) - INTERVAL 1 MINUTE FROM arrivals)""")
+def throughput_all_topics(spark: SparkSession, sf: str) -> DataFrame:
+    streams = [r.select("topic", F.col("timestamp").alias("kafka_timestamp")) for r in fx.record_streams(spark, sf).values()]
+    return _closed(live.throughput_stream(streams[0].unionByName(streams[1]).unionByName(streams[2])))
+
+
+@query("price_adjustments_stream", """
+    SELECT *, changes / 300 AS per_second FROM (
+      SELECT time_bucket(INTERVAL 5 MINUTE, CAST(event_ts AS TIMESTAMP)) AS window_start,
+             time_bucket(INTERVAL 5 MINUTE, CAST(event_ts AS TIMESTAMP)) + INTERVAL 5 MINUTE AS window_end,
+             CASE WHEN coalesce(change_pct, 0) > 0 THEN 'up' ELSE 'down' END AS direction, count(*) AS changes
+      FROM inventory WHERE event_type = 'price_change' GROUP BY 1, 2, 3)
+    WHERE window_end <= (SELECT CAST(max(event_ts) AS TIMESTAMP) - INTERVAL 10 MINUTE FROM inventory WHERE event_type = 'price_change')""")
+def price_adjustments_stream(spark: SparkSession, sf: str) -> DataFrame:
+    return _closed(live.price_adjustments_stream(fx.inventory(spark, sf, fx.table_stream(spark, sf, "lineitem"))))
+
+
+@query("running_ctr", """
+    SELECT *, CASE WHEN impressions > 0 THEN clicks / impressions ELSE 0.0::DOUBLE END AS ctr FROM (
+      SELECT count(*) FILTER (WHERE event_type = 'view') AS impressions,
+             count(*) FILTER (WHERE event_type = 'addtocart') AS clicks FROM clicks_all)""")
+def running_ctr(spark: SparkSession, sf: str) -> DataFrame:
+    """The one row that the stream keeps, after clicks that came in eight files."""
+    folder, path = scratch(spark, "arriving"), scratch(spark, "running")
+    fx.clicks_of(fx.table(spark, sf, "events")).select("event_id", "event_type").repartition(8, "event_id").write.parquet(folder)
+    clicks = spark.readStream.schema("event_id bigint, event_type string").option("maxFilesPerTrigger", 3).parquet(folder)
+    live.start_running_ctr(clicks, path, scratch(spark, "ckpt"), every=None).awaitTermination()
+    return read_table(spark, path).select("impressions", "clicks", "ctr")
+
+
+@query("stream_report", """
+    SELECT 'live_ctr' AS query, (SELECT count(*) FROM clicks_all) AS rows_in, count(*) AS rows_out, CAST(0 AS BIGINT) AS rows_late
+    FROM (SELECT DISTINCT time_bucket(INTERVAL 10 MINUTE, event_ts) + INTERVAL 10 MINUTE AS window_end FROM clicks_all)
+    WHERE window_end <= (SELECT date_trunc('millisecond', max(event_ts)) - INTERVAL 10 MINUTE FROM clicks_all)""")
+def stream_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows in, out and dropped as late of the windowed click rate, from its reports."""
+    reports, path = StreamReports(), scratch(spark, "reports")
+    spark.streams.addListener(reports)
+    try:
+        metric = counted(live.live_ctr_stream(fx.clicks_of(fx.events_stream(spark, sf)), "event_ts"), "live_ctr")
+        running = start_append(metric, scratch(spark, "metric"), scratch(spark, "ckpt"), every=None)
+        running.awaitTermination()
+        reports.wait_for(running.runId)
+        reports.flush(spark, path)
+    finally:
+        spark.streams.removeListener(reports)
+    return spark.read.parquet(path).groupBy("query").agg(*[F.sum(c).alias(c) for c in ("rows_in", "rows_out", "rows_late")])
+
+
+@query("csv_rejects", """
+    SELECT 'rows' AS part, count(*) AS lines, CAST(sum(visitorid) AS BIGINT) AS visitors FROM click_log WHERE "timestamp" % 7 <> 0
+    UNION ALL SELECT 'rejects', count(*), NULL FROM click_log WHERE "timestamp" % 7 = 0""")
+def csv_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """A click log in which one visitor in seven is no number: rows and refused lines."""
+    path = scratch(spark, "csv")
+    log = fx.click_log(spark, sf)
+    bad = F.when(F.col("timestamp") % 7 == 0, F.concat(F.lit("user-"), F.col("visitorid").cast("string"))).otherwise(F.col("visitorid").cast("string"))
+    write_csv(log.withColumn("visitorid", bad), path)
+    rows, rejects = read_csv_checked(spark, path, {"timestamp": "bigint", "visitorid": "bigint", "itemid": "bigint", "transactionid": "bigint"})
+    return (
+        rows.agg(F.lit("rows").alias("part"), F.count(F.lit(1)).alias("lines"), F.sum("visitorid").alias("visitors"))
+        .unionByName(rejects.filter(F.col("line").contains("user-")).agg(
+            F.lit("rejects").alias("part"), F.count(F.lit(1)).alias("lines"), F.lit(None).cast("bigint").alias("visitors")))
+    )
+
+
+_CATALOGUED = {
+    "user_item_interactions": ("interactions", "user_id item_id rating interaction_count last_interaction num_sessions has_purchased has_carted".split()),
+    "product_features": ("product_features", gold.PRODUCT_COLUMNS),
+}
+_CATALOG = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, unnest([{', '.join(repr(c) for c in columns)}]) AS column_name, unnest(range(1, {len(columns) + 1})) AS place, "
+    f"unnest([{', '.join(f'typeof(any_value({c}))' for c in columns)}]) AS kind FROM {source}"
+    for name, (source, columns) in _CATALOGUED.items())
+
+
+@query("gold_catalog", f"""
+    SELECT table_name, column_name, CAST(place AS INTEGER) AS position,
+           CASE kind WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' ELSE lower(kind) END AS data_type FROM ({_CATALOG})""")
+def gold_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    """Columns and types of two stored Gold tables, from the catalogue of the session that serves them."""
+    folder = scratch(spark, "gold")
+    overwrite_table(interactions(spark, sf), f"{folder}/user_item_interactions")
+    overwrite_table(products(spark, sf), f"{folder}/product_features")
+    listed = gs.session_catalog(gs.gold_session(spark, lambda s: gs.gold_tables(s, folder)))
+    return listed.select("table_name", "column_name", "position", "data_type")

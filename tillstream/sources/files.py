@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import iso_text
 from ..schemas import CLICK_LOG_CSV
+from ..session import scratch
 from .tables import path_exists
 
 
@@ -22,6 +23,25 @@ def read_csv_columns(spark: SparkSession, path: str, types: dict[str, str]) -> D
     return raw.select(*[F.col(c).try_cast(t).alias(c) for c, t in types.items()])
 
 
+REJECT = "_line"
+
+
+def read_csv_checked(spark: SparkSession, path: str, types: dict[str, str], label: str = "csv") -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects): like ``read_csv_columns``, but a line with a value that does not
+    fit its type, or with too few or too many fields, is no row with NULLs but a
+    row of the rejects (``file``, ``line``). Every line of data is in one of the two.
+    Empty fields are NULL, not errors. The parsed lines are written once for both."""
+    header = spark.read.csv(path, header=True).columns
+    fields = ", ".join(f"`{c}` {types.get(c, 'string')}" for c in header)
+    parsed = spark.read.csv(
+        path, header=True, schema=f"{fields}, {REJECT} string", mode="PERMISSIVE", columnNameOfCorruptRecord=REJECT, enforceSchema=True)
+    target = scratch(spark, label)
+    parsed.select(*types, REJECT, F.input_file_name().alias("file")).write.parquet(target)
+    stored = spark.read.parquet(target)
+    rows = stored.filter(F.col(REJECT).isNull()).select(*types)
+    return rows, stored.filter(F.col(REJECT).isNotNull()).select("file", F.col(REJECT).alias("line"))
+
+
 def read_click_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema=CLICK_LOG_CSV)
 

@@ -45,6 +45,10 @@ def _remove(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def remove_table(spark: SparkSession, path: str) -> None:
+    _remove(spark, path)
+
+
 def _versions(spark: SparkSession, path: str) -> list[int]:
     """Numbers of all version folders, finished or not."""
     fs, target = _fs(spark, path)
@@ -134,7 +138,7 @@ def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str
 _LISTED = 5_000  # partitions named in a filter; more are met by a semi-join
 
 
-def _touched(table: DataFrame, partition: str, values: Sequence) -> DataFrame:
+def rows_of_partitions(table: DataFrame, partition: str, values: Sequence) -> DataFrame:
     """The rows of ``table`` in the partitions ``values``, of any number. Other
     partitions are not read: a filter names a few, a join prunes for many."""
     column, known = F.col(partition), [v for v in values if v is not None]
@@ -170,20 +174,26 @@ def merge_insert_only(df: DataFrame, path: str, keys: Sequence[str], partition:
     the batch are read, and only their key columns; the table itself is
     appended to, never rewritten. Run twice, the second run inserts nothing.
     """
+    return insert_new(df, path, keys, partition, order, fmt)[0]
+
+
+def insert_new(df: DataFrame, path: str, keys: Sequence[str], partition: str,
+               order: Sequence[str] = (), fmt: str = "parquet") -> tuple[int, list]:
+    """``merge_insert_only``; also returns the partitions that occur in the batch."""
     spark = df.sparkSession
     batch_path = scratch(spark, "merge-batch")
     first_per_key(df, keys, order).write.format(fmt).save(batch_path)
     batch = spark.read.format(fmt).load(batch_path)
     fresh = batch
+    values = [r[0] for r in batch.select(partition).distinct().collect()]  # a row per folder of the batch
     if table_exists(spark, path):
-        days = [r[0] for r in batch.select(partition).distinct().collect()]  # a row per folder of the batch
-        table = _touched(read_table(spark, path, fmt), partition, days)
+        table = rows_of_partitions(read_table(spark, path, fmt), partition, values)
         fresh = batch.alias("new").join(
             table.select(*keys).alias("old"), null_safe_keys("new", "old", keys), "left_anti"
         )
     rows = write_counted(fresh.hint("rebalance", partition), path, "append", [partition], fmt)
     _remove(spark, batch_path)
-    return rows
+    return rows, values
 
 
 _STAGE = "_merge-"
@@ -262,17 +272,32 @@ def merge_upsert(df: DataFrame, path: str, keys: Sequence[str], partition: str)
             return 0
         merged, exists = batch, table_exists(spark, path)
         if exists:
-            old = _touched(read_table(spark, path), partition, list(sizes))
+            old = rows_of_partitions(read_table(spark, path), partition, list(sizes))
             kept = old.alias("old").join(
                 batch.select(*keys).alias("new"), null_safe_keys("old", "new", keys), "left_anti"
             )
             merged = kept.unionByName(batch)
-        # As many tasks as folders, up to the session's width: small folders are written side by side, large ones by several tasks.
-        spread = F.pmod(F.xxhash64(*keys), F.lit(_spread(spark, path, partition, list(sizes)) if exists else 1))
-        tasks = min(len(sizes), 4 * spark.sparkContext.defaultParallelism)
-        stage = f"{path.rstrip('/')}/{_STAGE}{uuid.uuid4().hex[:12]}"
-        merged.repartition(tasks, partition, spread).write.partitionBy(partition).parquet(stage)
+        spread = _spread(spark, path, partition, list(sizes)) if exists else 1
+        stage = _write_stage(merged, path, keys, partition, len(sizes) * spread, spread)
     finally:
         batch.unpersist()
     _put_in_place(spark, path, stage)
     return sum(sizes.values())
+
+
+def _write_stage(df: DataFrame, path: str, keys: Sequence[str], partition: str, tasks: int, spread: int = 1) -> str:
+    """Small folders are written side by side, large ones by several tasks."""
+    stage = f"{path.rstrip('/')}/{_STAGE}{uuid.uuid4().hex[:12]}"
+    tasks = max(1, min(tasks, 4 * df.sparkSession.sparkContext.defaultParallelism))
+    part = F.pmod(F.xxhash64(*keys), F.lit(spread))
+    df.repartition(tasks, partition, part).write.partitionBy(partition).parquet(stage)
+    return stage
+
+
+def replace_partitions(df: DataFrame, path: str, keys: Sequence[str], partition: str, values: Sequence) -> None:
+    """Put the rows of ``df`` in the place of the table's partitions ``values``,
+    which must be all that occur in it; other partitions stay. As safe as ``merge_upsert``."""
+    spark = df.sparkSession
+    _recover(spark, path)
+    if values:
+        _put_in_place(spark, path, _write_stage(df, path, keys, partition, len(values)))

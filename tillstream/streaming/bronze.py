@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -28,7 +28,7 @@ def trigger(seconds: int | None) -> dict:
 
 def start_append(df: DataFrame, path: str, checkpoint: str, every: int | None = 10,
                  name: str | None = None, fmt: str = "parquet",
-                 files: int | None = None) -> StreamingQuery:
+                 files: int | None = None, partition_by: Sequence[str] = ()) -> StreamingQuery:
     """Append a stream to a table. The sink's own log makes each micro-batch
     appear once, also after a restart from the checkpoint. A table format that
     can widen its schema is told to; parquet ignores the option. ``files`` bounds
@@ -40,12 +40,23 @@ def start_append(df: DataFrame, path: str, checkpoint: str, every: int | None =
         .option("path", path)
         .trigger(**trigger(every))
     )
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     return (writer.queryName(name) if name else writer).start()
 
 
+ARRIVAL_DAY = "arrival_date"
+
+
+def by_arrival(envelope: DataFrame) -> DataFrame:
+    """Bronze rows with the day on which they came in, by which Bronze is laid out."""
+    return envelope.withColumn(ARRIVAL_DAY, F.to_date("ingestion_timestamp"))
+
+
 def bronze_stream(records: DataFrame, topic: str, path: str, checkpoint: str,
                   every: int | None = 10, files: int | None = None) -> StreamingQuery:
-    return start_append(bronze_envelope(records, topic), path, checkpoint, every, files=files)
+    rows = by_arrival(bronze_envelope(records, topic))
+    return start_append(rows, path, checkpoint, every, files=files, partition_by=[ARRIVAL_DAY])
 
 
 def bronze_streams(sources: Mapping[str, DataFrame], bronze_dir: str, checkpoint_dir: str,

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.monitoring import live_ctr, price_adjustments, topic_throughput
-from .bronze import start_append
+from ..sources.tables import drop_old_versions, overwrite_table
+from .bronze import start_append, trigger
 
 
 def live_ctr_stream(clicks: DataFrame, ts_col: str, late: str = "10 minutes",
@@ -28,3 +29,18 @@ def start_metric(metric: DataFrame, path: str, checkpoint: str,
                  every: int | None = 10) -> StreamingQuery:
     """Closed windows of a metric, each written once."""
     return start_append(metric, path, checkpoint, every)
+
+
+def start_running_ctr(clicks: DataFrame, path: str, checkpoint: str, every: int | None = 10) -> StreamingQuery:
+    """Views, carts and their ratio over all clicks so far, as a table of one
+    row that every trigger replaces. The state is one row, whatever has passed."""
+
+    def replace(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.withColumns({"batch_id": F.lit(batch_id), "updated_at": F.current_timestamp()})
+        overwrite_table(rows.coalesce(1), path)
+        drop_old_versions(batch.sparkSession, path)
+
+    return (
+        live_ctr(clicks).writeStream.foreachBatch(replace).outputMode("update")
+        .option("checkpointLocation", checkpoint).trigger(**trigger(every)).start()
+    )
