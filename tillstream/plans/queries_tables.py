@@ -221,7 +221,7 @@ def merge_upsert_query(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch(spark, "upsert")
     rows = fx.clicks(spark, sf)
     for part in (rows.filter("event_type = 'view'"), rows):
-        windows = rolling_item_ctr(part).withColumn("window_hour", hour_of("window_start"))
+        windows = rolling_item_ctr(part).withColumn("window_hour", hour_of("window_start", "day"))
         merge_upsert(windows, path, KEYS, "window_hour")
     return plain_times(read_table(spark, path).drop("window_hour"))
 
@@ -270,7 +270,7 @@ def _click_stream(spark: SparkSession, sf: str) -> DataFrame:
 def _rolling_stream(spark: SparkSession, sf: str, mode: str, exact: bool) -> DataFrame:
     path = scratch(spark, "rolling")
     start_rolling(
-        _click_stream(spark, sf), path, scratch(spark, "ckpt"), mode, every=None, exact=exact
+        _click_stream(spark, sf), path, scratch(spark, "ckpt"), mode, every=None, exact=exact, span="day"
     ).awaitTermination()
     return plain_times(read_table(spark, path).drop("window_hour", "updated_at"))
 
@@ -480,7 +480,7 @@ def rolling_item_ctr_sketched(spark: SparkSession, sf: str) -> DataFrame:
 def rolling_item_ctr_panes(spark: SparkSession, sf: str) -> DataFrame:
     """The stream keeps panes; windows are made of them where they are read."""
     path = scratch(spark, "panes")
-    start_panes(_click_stream(spark, sf), path, scratch(spark, "ckpt"), every=None).awaitTermination()
+    start_panes(_click_stream(spark, sf), path, scratch(spark, "ckpt"), every=None, span="day").awaitTermination()
     return plain_times(read_windows(spark, path))
 
 

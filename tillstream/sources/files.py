@@ -36,7 +36,8 @@ def read_csv_checked(spark: SparkSession, path: str, types: dict[str, str], labe
     parsed = spark.read.csv(
         path, header=True, schema=f"{fields}, {REJECT} string", mode="PERMISSIVE", columnNameOfCorruptRecord=REJECT, enforceSchema=True)
     target = scratch(spark, label)
-    parsed.select(*types, REJECT, F.input_file_name().alias("file")).write.parquet(target)
+    every_field = F.xxhash64(*header)  # fields that nobody asks for are not parsed, and then not counted either
+    parsed.select(*types, REJECT, F.input_file_name().alias("file"), every_field.alias("_fields")).write.parquet(target)
     stored = spark.read.parquet(target)
     rows = stored.filter(F.col(REJECT).isNull()).select(*types)
     return rows, stored.filter(F.col(REJECT).isNotNull()).select("file", F.col(REJECT).alias("line"))

@@ -14,9 +14,14 @@ from .bronze import trigger
 KEYS = ("item_id", "window_start")
 
 
-def hour_of(start: str) -> Column:
-    """Hour in which a window begins, as the name of its partition."""
-    return F.date_format(start, "yyyy-MM-dd-HH")
+SPANS = {"hour": "yyyy-MM-dd-HH", "day": "yyyy-MM-dd"}
+
+
+def hour_of(start: str, span: str = "hour") -> Column:
+    """Hour (or day) in which a window begins, as the name of its partition. By
+    hour a live trigger rewrites little; by day a backfill of months writes
+    few folders. A table keeps the span it was begun with."""
+    return F.date_format(start, SPANS[span])
 
 
 def click_records(records: DataFrame) -> DataFrame:
@@ -34,14 +39,14 @@ def rolling_stream(clicks: DataFrame, ts_col: str = "kafka_ts", late: str = "10
     return rolling_item_ctr(clicks.withWatermark(ts_col, late), ts_col, exact=exact)
 
 
-def merge_batch(path: str):
+def merge_batch(path: str, span: str = "hour"):
     """foreachBatch function: stamp the changed windows and upsert them by hour, so
     that a trigger rewrites the hours it touches and not the day so far.
     A replayed batch writes the same rows again, so the table does not change."""
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumn("updated_at", F.current_timestamp()).withColumn(
-            "window_hour", hour_of("window_start")
+            "window_hour", hour_of("window_start", span)
         )
         merge_upsert(rows, path, KEYS, "window_hour")
 
@@ -50,7 +55,7 @@ def merge_batch(path: str):
 
 def start_rolling(clicks: DataFrame, path: str, checkpoint: str, mode: str = "update",
                   every: int | None = 600, ts_col: str = "kafka_ts",
-                  exact: bool = False) -> StreamingQuery:
+                  exact: bool = False, span: str = "hour") -> StreamingQuery:
     """``update`` refreshes open windows at every trigger; ``append`` emits a
     window once, after the watermark has passed its end. Exact distinct users
     need ``append``."""
@@ -58,7 +63,7 @@ def start_rolling(clicks: DataFrame, path: str, checkpoint: str, mode: str = "up
         raise ValueError("exact distinct users need append mode")
     return (
         rolling_stream(clicks, ts_col, exact=exact)
-        .writeStream.foreachBatch(merge_batch(path))
+        .writeStream.foreachBatch(merge_batch(path, span))
         .outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger(every))
@@ -67,14 +72,14 @@ def start_rolling(clicks: DataFrame, path: str, checkpoint: str, mode: str = "up
 
 
 def start_panes(clicks: DataFrame, path: str, checkpoint: str, every: int | None = 600,
-                ts_col: str = "kafka_ts", late: str = "10 minutes") -> StreamingQuery:
+                ts_col: str = "kafka_ts", late: str = "10 minutes", span: str = "hour") -> StreamingQuery:
     """Keeps a table of panes up to date: counts and user sketches per item and
     ten minutes. An event is one state row and one stored cell, not six; the
     windows are made where they are read (``read_windows``). A pane takes rows
     until the watermark passes its end."""
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("updated_at", F.current_timestamp()).withColumn("pane_hour", hour_of("pane_start"))
+        rows = batch.withColumn("updated_at", F.current_timestamp()).withColumn("pane_hour", hour_of("pane_start", span))
         merge_upsert(rows, path, ("item_id", "pane_start"), "pane_hour")
 
     return (
