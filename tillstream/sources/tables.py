@@ -174,26 +174,29 @@ def merge_insert_only(df: DataFrame, path: str, keys: Sequence[str], partition:
     the batch are read, and only their key columns; the table itself is
     appended to, never rewritten. Run twice, the second run inserts nothing.
     """
-    return insert_new(df, path, keys, partition, order, fmt)[0]
+    return insert_new(df, path, keys, partition, order, fmt, want_grown=False)[0]
 
 
 def insert_new(df: DataFrame, path: str, keys: Sequence[str], partition: str,
-               order: Sequence[str] = (), fmt: str = "parquet") -> tuple[int, list]:
-    """``merge_insert_only``; also returns the partitions that occur in the batch."""
+               order: Sequence[str] = (), fmt: str = "parquet", want_grown: bool = True) -> tuple[int, list, list]:
+    """``merge_insert_only``; also returns the partitions that got rows, and all
+    that occur in the batch."""
     spark = df.sparkSession
     batch_path = scratch(spark, "merge-batch")
     first_per_key(df, keys, order).write.format(fmt).save(batch_path)
     batch = spark.read.format(fmt).load(batch_path)
     fresh = batch
-    values = [r[0] for r in batch.select(partition).distinct().collect()]  # a row per folder of the batch
+    values = grown = [r[0] for r in batch.select(partition).distinct().collect()]  # a row per folder of the batch
     if table_exists(spark, path):
         table = rows_of_partitions(read_table(spark, path, fmt), partition, values)
         fresh = batch.alias("new").join(
             table.select(*keys).alias("old"), null_safe_keys("new", "old", keys), "left_anti"
         )
+        if want_grown:  # a second anti-join, of the key columns alone
+            grown = [r[0] for r in fresh.select(partition).distinct().collect()]
     rows = write_counted(fresh.hint("rebalance", partition), path, "append", [partition], fmt)
     _remove(spark, batch_path)
-    return rows, values
+    return rows, grown, values
 
 
 _STAGE = "_merge-"
