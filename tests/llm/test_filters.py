@@ -50,7 +50,12 @@ def test_repeated_lines(spark):
         (5, "a b\na b", 0, "d"), (6, f"{same}\n{same}", 0, "d"), (6, f"{same}\n{same}", 0, "d"), (7, "w " * 40_000, 0, "d")],
         "doc_id bigint, text string, start int, digest string")
     found = sorted((tuple(r) for r in line_dedup.repeated_units(docs).collect()), key=repr)
-    assert found == sorted([(3, 1, 2, 24, 1, 1), (None, 0, 0, 24, 1, 1)] + [(6, 0, 0, 24, 1, 1), (6, 1, 25, 24, 1, 1)] * 2, key=repr)
+    expected = [(3, 1, 2, 24, 1, 1), (None, 0, 0, 24, 1, 1)] + [(6, 0, 0, 24, 1, 1), (6, 1, 25, 24, 1, 1)] * 2
+    assert found == sorted([*expected, (5, 1, 4, 3, 5, 0)], key=repr)
+    long_enough = line_dedup.repeated_units(docs, min_words=5).collect()
+    assert sorted((tuple(r) for r in long_enough), key=repr) == sorted(expected, key=repr)
+    short = spark.createDataFrame([(1, "同じ行"), (2, "x\n同じ行\n\n \n"), (3, " \n")], "doc_id bigint, text string")
+    assert [tuple(r) for r in line_dedup.repeated_units(short).collect()] == [(2, 1, 2, 3, 1, 0)]
     one = docs.filter("doc_id IN (3, 1)")
     kept = {r.doc_id: r.text for r in line_dedup.without_units(one, line_dedup.repeated_units(one)).collect()}
     assert kept == {1: f"é\n{same.upper()}", 3: "x\n\n\nend of"}

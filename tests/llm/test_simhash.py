@@ -167,3 +167,17 @@ def test_components(spark):
     found = components(spark.createDataFrame(pairs + [(None, 3), (7, None)], "a bigint, b bigint")).collect()
     linked = {x for a, b in pairs if a != b for x in (a, b)}
     assert {r.node: r.root for r in found} == {i: r for i, r in expected.items() if i in linked} and len(found) == len(linked)
+
+
+def test_a_common_passage_makes_few_candidates(spark):
+    """Different texts around one passage of 60 words: candidates must not grow with the square."""
+    rnd = random.Random(77)
+    passage = " ".join(f"p{rnd.randrange(10**6)}" for _ in range(60))
+    rows = []
+    for i in range(1600):
+        own = [f"w{rnd.randrange(10**6)}" for _ in range(rnd.randint(20, 60))]
+        cut = rnd.randint(0, len(own))
+        rows.append((i, " ".join([*own[:cut], passage, *own[cut:]])))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    reps = docs.select(docs["doc_id"].alias("rep"), docs["doc_id"].alias("root"))
+    assert simhash.unlinked_pairs(docs, reps, 5, 0.8, "doc_id", "text").count() < 10 * 1600

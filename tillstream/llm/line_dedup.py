@@ -36,14 +36,15 @@ def units(docs: DataFrame, unit: str = "line", id_col: str = "doc_id", text_col:
     return map_texts(docs, rows, _UNIT, id_col, text_col)
 
 
-def repeated_units(docs: DataFrame, unit: str = "line", min_words: int = 5,
+def repeated_units(docs: DataFrame, unit: str = "line", min_words: int = 1,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The units to remove: every occurrence but the earliest of each normal form.
 
     Columns ``doc_id, unit, start, length, first_doc_id, first_unit``: offsets
     are those of the original text, ``first_*`` names the occurrence kept. The
-    earliest is the least (doc_id, unit, start); a null doc_id ranks last. Units
-    of fewer than ``min_words`` words are too common to count as copies and stay.
+    earliest is the least (doc_id, unit, start); a null doc_id ranks last. All
+    units that are not blank count; with ``min_words`` shorter ones may stay (a
+    text without spaces is one word).
     Rows repeated with the same doc_id rank by their offsets and, where all is
     equal, count as one occurrence, so both stay. Null and empty texts have no
     units. First occurrences combine before the shuffle and are written; the join

@@ -69,7 +69,7 @@ ranked AS (
   SELECT doc_id, CAST(unit AS INTEGER) AS unit, start, CAST(length(piece) AS BIGINT) AS length,
          first_value(doc_id) OVER w AS first_doc_id, CAST(first_value(unit) OVER w AS INTEGER) AS first_unit,
          row_number() OVER w AS n
-  FROM starts WHERE len(string_split(normal, ' ')) >= 5
+  FROM starts WHERE normal <> ''
   WINDOW w AS (PARTITION BY md5(normal) ORDER BY doc_id, unit))
 SELECT doc_id, unit, start, length, first_doc_id, first_unit FROM ranked WHERE n > 1
 """

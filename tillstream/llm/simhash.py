@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import components, long_rows, map_texts, written
 
-FREQUENT, _SHARE = 24, 8   # sampled texts that hold a frequent shingle; one text in so many is sampled
+FREQUENT, _SHARE = 3, 8    # sampled texts that hold a listed shingle; one text in so many is sampled
+LISTED = 1_000_000         # shingles whose frequency is known in every task: 16 MB
 TILE = 16_384          # rows of a bucket that one task compares with each other
 _AT_ONCE = 1 << 17     # rows compared together
 _STEP = 8              # planes between two looks at which words are finished
@@ -334,50 +335,91 @@ def verified(pairs: DataFrame, docs: DataFrame, shingle: int, similarity: float,
     return both.select("a", "b", "raw_a", "raw_b").mapInArrow(compare, "a bigint, b bigint")
 
 
-def _first_shingles(text: str | None, shingle: int, similarity: float, frequent: np.ndarray) -> tuple[np.ndarray, int]:
-    """The first shingles of a text's set, infrequent ones before others and by
-    hash, and the size of the set. Sets of at least the similarity share one."""
-    hashes = np.unique(shingle_hashes(text, shingle)).view(np.int64)
-    if len(frequent):
-        hashes = hashes[np.argsort(np.isin(hashes, frequent), kind="stable")]
+class Frequency:
+    """How often sampled texts hold a shingle; 0 for all that are not listed."""
+
+    def __init__(self, tokens: np.ndarray, counts: np.ndarray):
+        order = np.argsort(tokens)
+        self._tokens, self._counts = tokens[order], counts[order]
+
+    def of(self, tokens: np.ndarray) -> np.ndarray:
+        if not len(self._tokens):
+            return np.zeros(len(tokens), np.int64)
+        at = np.minimum(np.searchsorted(self._tokens, tokens), len(self._tokens) - 1)
+        return np.where(self._tokens[at] == tokens, self._counts[at], 0)
+
+
+def _set_of(text: str | None, shingle: int) -> np.ndarray:
+    return np.unique(shingle_hashes(text, shingle)).view(np.int64)
+
+
+def _first_shingles(text: str | None, shingle: int, similarity: float, frequency: Frequency) -> tuple[np.ndarray, int]:
+    """The first shingles of a text's set, rare ones first and by hash among
+    equals, and the size of the set. Sets of at least the similarity share one."""
+    hashes = _set_of(text, shingle)
+    hashes = hashes[np.argsort(frequency.of(hashes), kind="stable")]
     least = int(np.ceil(similarity * len(hashes) - 1e-6))
     return hashes[: len(hashes) - least + 1 if least else 0], len(hashes)
 
 
-def unlinked_pairs(docs: DataFrame, reps: DataFrame, shingle: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
-    """(a, b): a superset of the pairs of ``rep`` ids under different ``root`` whose
-    sets of shingles reach the similarity. Both then share one of their first
-    shingles in any order of all shingles; this one puts those last that a sample
-    finds frequent, so that a common passage does not pair all that hold it."""
-
-    def rows_with(frequent):
-        def rows(pairs):
-            for doc, text in pairs:
-                if doc is None:
-                    continue
-                first, size = _first_shingles(text, shingle, similarity, frequent)
-                for at, token in enumerate(first.tolist()):
-                    yield token, doc, at, size
-        return rows
+def _over_texts(docs: DataFrame, columns, schema: str, id_col: str, text_col: str) -> DataFrame:
+    """``columns(id, text)``, a tuple of arrays, for every text with an id."""
+    typed = long_rows(docs).select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
+    names = [f.split()[0] for f in schema.split(", ")]
 
-    schema = "token bigint, rep bigint, at int, size int"
+    def run(batches):
+        for batch in batches:
+            parts = [columns(i, t) for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            if parts:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)], names=names)
+
+    return typed.filter("id IS NOT NULL").mapInArrow(run, schema)
+
+
+def _frequency(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> Frequency:
+    """Of all shingles of the sampled texts, the LISTED most frequent. The list
+    only sets an order: any order finds all pairs, this one makes few candidates."""
     sampled = docs.filter(F.pmod(F.xxhash64(id_col), F.lit(_SHARE)) == 0)
-    counts = map_texts(sampled, rows_with(np.empty(0, np.int64)), schema, id_col, text_col).groupBy("token").count()
-    top = counts.filter(F.col("count") >= FREQUENT).orderBy(F.desc("count"), "token").limit(100_000).collect()
-    frequent = np.array([r.token for r in top], np.int64)
-    index = map_texts(docs, rows_with(frequent), schema, id_col, text_col)
+    held = _over_texts(sampled, lambda i, t: (_set_of(t, shingle),), "token bigint", id_col, text_col)
+    counts = written(held.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= FREQUENT), "frequencies")
+    room, least = LISTED, None
+    for n, tokens in sorted(map(tuple, counts.groupBy("n").count().collect()), reverse=True):  # a row per frequency
+        room -= tokens
+        if room < 0:
+            break
+        least = n
+    top = counts.filter(F.col("n") >= F.lit(least)).toArrow() if least else counts.limit(0).toArrow()
+    return Frequency(top["token"].to_numpy(), top["n"].to_numpy())
+
+
+def unlinked_pairs(docs: DataFrame, reps: DataFrame, shingle: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
+    """(a, b): a superset of the pairs of ``rep`` ids under different ``root`` whose
+    sets of shingles reach the similarity, each once. Both then share one of
+    their first shingles in any order of all shingles; this one takes rare
+    shingles first, so that a common passage does not pair all that hold it. Sizes
+    within the similarity lie in the same or in neighbouring bands, which are
+    part of the key; the rest of the size and place test is part of the join."""
+    frequency = docs.sparkSession.sparkContext.broadcast(_frequency(docs, shingle, id_col, text_col))  # at most LISTED entries
+
+    def first(doc: int, text: str | None):
+        tokens, size = _first_shingles(text, shingle, similarity, frequency.value)
+        n = len(tokens)
+        return tokens, np.full(n, doc, np.int64), np.arange(n, dtype=np.int32), np.full(n, size, np.int32)
+
+    index = _over_texts(docs, first, "token bigint, rep bigint, at int, size int", id_col, text_col)
     index = written(index.join(reps, "rep").distinct(), "first-shingles")
     several = index.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y").select("token")
-    grouped = written(
-        index.join(several, "token", "left_semi").groupBy("token", "root")
-        .agg(F.collect_list(F.struct("rep", "at", "size")).alias("own")), "shingle-groups")
-    a, b = (grouped.select("token", F.col("root").alias(f"root_{k}"), F.col("own").alias(f"own_{k}")) for k in "ab")
-    pairs = a.join(b, "token").filter("root_a < root_b").select("own_b", F.explode("own_a").alias("a"))
-    pairs = pairs.select("a", F.explode("own_b").alias("b"))
+    shared = written(
+        index.join(several, "token", "left_semi")
+        .withColumn("band", F.floor(F.log("size") / F.lit(float(-np.log(similarity))) + 1e-9).cast("int")), "shared-shingles")
+    a = shared.select("token", *[F.col(c).alias(f"{c}_a") for c in ("rep", "at", "size", "root", "band")])
+    b = shared.select("token", *[F.col(c).alias(f"{c}_b") for c in ("rep", "at", "size", "root")],
+                      F.explode(F.array(F.col("band"), F.col("band") - 1, F.col("band") + 1)).alias("band_a"))
     # What both can share from this shingle on, if it is their first common one.
-    least = F.lit(similarity / (1 + similarity)) * (F.col("a.size") + F.col("b.size")) - 1e-6
-    shared = F.least(F.col("a.size") - F.col("a.at"), F.col("b.size") - F.col("b.at"))
-    return pairs.filter(shared >= least).select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b"))
+    least = F.lit(similarity / (1 + similarity)) * (F.col("size_a") + F.col("size_b")) - 1e-6
+    rest = F.least(F.col("size_a") - F.col("at_a"), F.col("size_b") - F.col("at_b"))
+    met = a.join(b, ["token", "band_a"]).filter((F.col("rep_a") < F.col("rep_b")) & (F.col("root_a") != F.col("root_b")) & (rest >= least))
+    return met.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, words: int = 1, radius: int = 2,
