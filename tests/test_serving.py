@@ -87,3 +87,22 @@ def test_stored_lists_are_cut_before_exclusion(spark):
                                    "user_id bigint, position int, item_id bigint, score double")
     excluded = spark.createDataFrame([(1, 10)], "user_id bigint, item_id bigint")
     assert recs(serving.precomputed_recs(stored, 3, excluded)) == [11, 12]
+
+
+def test_stored_lists_need_no_shuffle(spark, tmp_path):
+    """Lists and met items lie in buckets of the user; nothing is exchanged."""
+    from tillstream.sources.tables import write_bucketed
+
+    lists = spark.range(40).selectExpr("id % 8 AS user_id", "cast(id div 8 AS int) AS position", "id AS item_id", "1.0D AS score")
+    met = spark.createDataFrame([(1, 1), (1, 9), (3, 100), (9, 9)], "user_id bigint, item_id bigint")
+    stored = write_bucketed(lists, "lists_test", str(tmp_path / "lists"), "user_id", 4)
+    known = write_bucketed(met, "met_test", str(tmp_path / "met"), "user_id", 4)
+    for broadcast in ("-1", "10485760"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+        found = serving.stored_lists(stored, known, 4)
+        plain = serving.precomputed_recs(lists, 4, met).select(*lists.columns)
+        assert {tuple(r) for r in found.select(*lists.columns).collect()} == {tuple(r) for r in plain.collect()}
+        if broadcast == "-1":
+            assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    spark.sql("DROP TABLE lists_test")
+    spark.sql("DROP TABLE met_test")

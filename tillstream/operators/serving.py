@@ -107,3 +107,12 @@ def precomputed_recs(stored: DataFrame, n: int = 10, excluded: DataFrame | None
     places, then without the excluded items."""
     recs = stored.filter(F.col("position") < n)
     return exclude_items(recs, excluded) if excluded is not None else recs
+
+
+def stored_lists(lists: DataFrame, met: DataFrame, n: int = 10) -> DataFrame:
+    """``precomputed_recs`` for tables that lie in buckets of ``user_id``: a user's
+    met items become one list, so everything happens on ``user_id`` and nothing is
+    shuffled. The list is no longer than the catalogue."""
+    known = met.groupBy("user_id").agg(F.collect_set("item_id").alias("_met"))
+    recs = lists.filter(F.col("position") < n).join(known, "user_id", "left")
+    return recs.filter(F.col("_met").isNull() | ~F.array_contains("_met", F.col("item_id"))).drop("_met")

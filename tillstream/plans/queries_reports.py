@@ -11,6 +11,7 @@ from ..ml import price_model, recommender, topn
 from ..operators import explore, monitoring, pricing, ranking, runs, serving, subsets
 from ..session import scratch
 from ..sources.files import read_click_log, write_csv
+from ..sources.tables import write_bucketed
 from . import fixtures as fx
 from .nightly import pricing_data
 from .queries_tables import interactions, products
@@ -543,23 +544,58 @@ def _place_counts_sql() -> str:
     return ", ".join(f"count(*) FILTER (WHERE l_linenumber % 7 = {n})" for n in range(7))
 
 
-@query("top_n_all_users", f"""
+_TOP_N = f"""
     WITH lines AS (SELECT o_custkey, l_partkey, l_linenumber FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
     users AS (SELECT o_custkey AS user_id, [{_place_counts_sql()}] AS v FROM lines GROUP BY o_custkey),
     items AS (SELECT l_partkey AS item_id, [{_place_counts_sql()}] AS v FROM lines GROUP BY l_partkey),
     scored AS (SELECT user_id, item_id, CAST(list_sum(list_transform(list_zip(users.v, items.v), lambda p: p[1] * p[2])) AS DOUBLE) AS score
-               FROM users, items)
-    SELECT user_id, CAST(n - 1 AS INTEGER) AS position, item_id, score FROM (
-      SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS n FROM scored) WHERE n <= 10""")
-def top_n_all_users(spark: SparkSession, sf: str) -> DataFrame:
-    """The ten parts of highest product for every customer: vectors are counts of
-    lines by place in the order, so that SQL can form all products. The search
-    leaves out what cannot reach a list."""
+               FROM users, items),
+    lists AS (SELECT user_id, CAST(n - 1 AS INTEGER) AS position, item_id, score FROM (
+      SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS n FROM scored) WHERE n <= 10)
+    """
+
+
+def _count_lists(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Lists from vectors of counts, and the lines they are made of."""
     lines = fx.table(spark, sf, "lineitem").join(fx.table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     counts = F.array(*[F.count_if(F.col("l_linenumber") % 7 == n).cast("float") for n in range(7)]).alias("features")
     users, items = (lines.groupBy(F.col(c).cast("int").alias("id")).agg(counts) for c in ("o_custkey", "l_partkey"))
     found = topn.as_rows(topn.best_items(users, items, 10))
-    return found.select(F.col("user_id").cast("bigint").alias("user_id"), "position", F.col("item_id").cast("bigint").alias("item_id"), "score")
+    return found.select(F.col("user_id").cast("bigint").alias("user_id"), "position", F.col("item_id").cast("bigint").alias("item_id"), "score"), lines
+
+
+@query("top_n_all_users", f"{_TOP_N} SELECT * FROM lists")
+def top_n_all_users(spark: SparkSession, sf: str) -> DataFrame:
+    """The ten parts of highest product for every customer: vectors are counts of
+    lines by place in the order, so that SQL can form all products. The search
+    leaves out what cannot reach a list."""
+    return _count_lists(spark, sf)[0]
+
+
+def _bucketed(rows: DataFrame, label: str) -> DataFrame:
+    path = scratch(rows.sparkSession, label)
+    return write_bucketed(rows, path.rsplit("/", 1)[1].replace("-", "_"), path, "user_id", 8)
+
+
+@query("stored_lists", f"""{_TOP_N} SELECT * FROM lists WHERE position < 5 AND NOT EXISTS (
+    SELECT 1 FROM lines WHERE o_custkey = user_id AND l_partkey = item_id)""")
+def stored_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """Those lists in buckets by user, five places, without the parts a customer
+    has bought, which lie in the same buckets."""
+    lists, lines = _count_lists(spark, sf)
+    met = lines.select(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id")).distinct()
+    return serving.stored_lists(_bucketed(lists, "lists"), _bucketed(met, "met"), 5)
+
+
+@query("model_recs")
+def model_recs(spark: SparkSession, sf: str) -> DataFrame:
+    """The recommender's own lists for all clicking users, stored in buckets, items
+    and scores as fitted; ten places without the items a user has carted or bought."""
+    rows = interactions(spark, sf)
+    lists = recommender.recommend_top_n(recommender.fit_als(rows), n=10)
+    met = rows.filter("has_purchased OR has_carted").select("user_id", "item_id")
+    ids = [F.col(c).cast("bigint").alias(c) for c in ("user_id", "item_id")]
+    return serving.stored_lists(_bucketed(lists.select(ids[0], "position", ids[1], "score"), "lists"), _bucketed(met.select(*ids), "met"), 10)
 
 
 _USERS_FROM, _ITEMS_FROM = 5_000_000_000, 6_000_000_000

@@ -123,6 +123,16 @@ def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     return write_counted(out, target, "errorifexists", partition_by, fmt)
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int) -> DataFrame:
+    """A catalogue table ``name`` over files at ``path``, dealt into ``buckets`` by
+    ``key``: aggregates and joins on the key of tables with as many buckets need
+    no shuffle. One task writes a bucket, so files are as many as buckets."""
+    spark = df.sparkSession
+    (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path)
+     .mode("overwrite").saveAsTable(name))
+    return spark.table(name)
+
+
 def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
     """Delete all but the newest ``keep`` finished versions; returns what went."""
     finished = [n for n in _versions(spark, path)
