@@ -1,5 +1,8 @@
+import math
 import zlib
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tillstream.llm import language
@@ -53,3 +56,65 @@ def test_sample_is_bounded(spark):
     many = spark.range(5_000).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"), (F.col("id") % 10 < 9).cast("string").alias("lang"))
     counts = {r.lang: r["count"] for r in language.sampled(many, 200, "doc_id", "text", "lang").groupBy("lang").count().collect()}
     assert counts == {"true": 200, "false": 200}
+
+
+def plain_model(labelled, min_times=2):
+    """Counts of words (0) and n-grams (1 to 5) per language, kept where they occur often enough in all."""
+    counts = {}
+    for lang, text in labelled:
+        for word in language._WORD.findall(text.lower()):
+            padded = f"^{word}$"
+            for n, gram in [(0, word)] + [(n, padded[i : i + n]) for n in range(1, language.LONGEST + 1) for i in range(len(padded) - n + 1)]:
+                own = counts.setdefault((n, gram), {})
+                own[lang] = own.get(lang, 0) + 1
+    return {k: v for k, v in counts.items() if sum(v.values()) >= min_times}
+
+
+def plain_scores(counts, text):
+    langs = sorted({lang for own in counts.values() for lang in own})
+    totals = {(n, lang): 0 for n in range(language.LONGEST + 1) for lang in langs}
+    for (n, _), own in counts.items():
+        for lang, times in own.items():
+            totals[n, lang] += times
+    logs = {}
+
+    def entry(n, gram):
+        if (n, gram) not in logs:
+            shares = [counts[n, gram].get(lang, 0) / max(totals[n, lang], 1) for lang in langs]
+            mean = sum(shares) / len(shares)
+            logs[n, gram] = [math.log((1 - language._SHARED) * s + language._SHARED * mean) for s in shares]
+        return logs[n, gram]
+
+    def of(word):
+        if (0, word) in counts:
+            return entry(0, word)
+        padded = f"^{word}$"
+        for n in range(language.LONGEST, 0, -1):
+            grams = [g for i in range(len(padded) - n + 1) if (n, g := padded[i : i + n]) in counts]
+            if grams:
+                rows = [entry(n, g) for g in grams]
+                return [sum(column) / len(rows) for column in zip(*rows)]
+        return [0.0] * len(langs)
+
+    def score(text):
+        words = language._WORD.findall((text or "").lower())
+        if not words:
+            return "und", 0.0
+        total = [sum(column) * min(1.0, 20 / len(words)) for column in zip(*map(of, words))]
+        parts = [math.exp(t - max(total)) for t in total]
+        best = max(range(len(langs)), key=lambda i: parts[i])
+        return langs[best], parts[best] / sum(parts)
+
+    return [score(t) for t in text]
+
+
+def test_query_equals_a_plain_scorer(spark, sf):
+    """Whole texts, scored by a second version that shares only the pattern of a word and the constants."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang").collect()
+    taught = [(d.lang, d.text) for d in docs if zlib.crc32(str(d.doc_id).encode()) % 4 != 2 and d.lang is not None and d.text is not None]
+    expected = dict(zip([d.doc_id for d in docs], plain_scores(plain_model(taught), [d.text for d in docs])))
+    found = {r.doc_id: (r.lang_pred, r.score) for r in QUERIES["op3_language_id"](spark, sf).collect()}
+    assert found.keys() == expected.keys()
+    for doc, (lang, score) in expected.items():
+        assert found[doc][0] == lang or abs(found[doc][1] - score) < 1e-3 and score < 0.51
+        assert found[doc][1] == pytest.approx(score, abs=1e-3)

@@ -89,3 +89,38 @@ def test_memo_gives_the_tokenizers_ids(name, kind):
     plain, memo = Tokenizer.from_file(path(name)), Memo(path(name), kind, limit=50)
     for text in texts * 2:
         assert np.frombuffer(memo.encode([text])[0], "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
+
+
+def test_query_against_brute_force(spark, tmp_path):
+    """The registered query over a small table: ids of the tokenizer itself, and no
+    more sequences than best-fit decreasing needs, one piece at a time."""
+    from tillstream.llm.queries import QUERIES
+
+    rnd = random.Random(6)
+    texts = [None, "", "é日 words"] + [" ".join(rnd.choice(["river", "Haus", "12", "x,", "thble"]) for _ in range(rnd.choice([3, 300, 900, 2500]))) for _ in range(40)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["op1_pack"](spark, str(tmp_path)).collect()
+    ids = {doc: np.array(encode(t), "<u4") for doc, t in enumerate(texts)}
+    pieces, places = {}, {}
+    for r in found:
+        assert zlib.crc32(ids[r.doc_id][r.start : r.start + r.length].tobytes()) == r.ids_crc32
+        pieces.setdefault(r.doc_id, []).append((r.piece, r.start, r.length))
+        places.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for doc, own in pieces.items():
+        own.sort()
+        assert [p for p, _, _ in own] == list(range(len(own)))
+        assert [s for _, s, _ in own] == [sum(n for _, _, n in own[:i]) for i in range(len(own))]
+        assert sum(n for _, _, n in own) == len(ids[doc]) and all(n == 2048 for _, _, n in own[1:])
+        assert len(own) == -(-len(ids[doc]) // 2048)
+    assert pieces.keys() == ids.keys()
+    for own in places.values():
+        own.sort()
+        assert [o for o, _ in own] == [sum(n for _, n in own[:i]) for i in range(len(own))] and sum(n for _, n in own) <= 2048
+    left = []
+    for n in sorted((n for own in pieces.values() for _, _, n in own), reverse=True):
+        fits = [i for i, room in enumerate(left) if room >= n]
+        if fits:
+            left[min(fits, key=lambda i: left[i])] -= n
+        else:
+            left.append(2048 - n)
+    assert len(places) <= len(left)

@@ -144,3 +144,33 @@ def test_deep_shallow_sort_finds_equal_strings():
     for i in range(len(at)):
         expected.setdefault((group[i], buffer[at[i]:at[i] + 100]), []).append(i)
     assert sorted(sorted(f.tolist()) for f in found) == sorted(v for v in expected.values() if len(v) > 1)
+
+
+def test_query_against_brute_force(spark, tmp_path):
+    """The registered query over a small table, every 100-byte string compared."""
+    import hashlib
+
+    from tillstream.llm.queries import QUERIES
+
+    rnd = random.Random(12)
+    passages = ["".join(rnd.choice("abc é日\n") for _ in range(n)) for n in (99, 100, 130, 400)]
+    texts = [None, "", "x" * 260]
+    for _ in range(60):
+        own = ["".join(rnd.choice("defghijk lmno") for _ in range(rnd.randint(0, 150))) for _ in range(3)]
+        texts.append(own[0] + rnd.choice(passages) + own[1] + rnd.choice(["", rnd.choice(passages)]) + own[2])
+    texts += [texts[5], texts[9]]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    seen, expected = set(), {}
+    for doc, text in enumerate(texts):
+        raw = (text or "").encode()
+        gone = bytearray(len(raw))
+        for at in range(len(raw) - 99):
+            string = raw[at : at + 100]
+            if string in seen:
+                gone[at : at + 100] = b"\1" * 100
+            seen.add(string)
+        kept = bytes(b for b, g in zip(raw, gone) if not g)
+        spans = sum(g and (i == 0 or not gone[i - 1]) for i, g in enumerate(gone))
+        expected[doc] = (len(raw), sum(gone), spans, hashlib.sha256(kept).hexdigest())
+    found = QUERIES["op2_suffix_dedup"](spark, str(tmp_path)).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found} == expected
