@@ -144,13 +144,22 @@ def activity_histogram(log: DataFrame, bins: int = 50) -> DataFrame:
     )
 
 
+SALTS = 64  # tasks that share the items of one count
+
+
 def item_popularity(log: DataFrame) -> DataFrame:
-    """Events per item with its rank (equal counts share a rank, next rank skips)."""
+    """Events per item with its rank (equal counts share a rank, next rank skips).
+
+    A third of all items may have one event each. The ranks, one row per distinct
+    count, are repeated SALTS times, so that the items of one count meet theirs in
+    as many tasks."""
     counts = events_per(log, "itemid")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     ranks = count_histogram(counts).select(
-        "event_count", (F.col("keys_before") + 1).alias("item_rank")
+        "event_count", (F.col("keys_before") + 1).alias("item_rank"), salts.alias("salt")
     )
-    return counts.join(ranks, "event_count").select("itemid", "event_count", "item_rank")
+    salted = counts.withColumn("salt", F.pmod(F.xxhash64("itemid"), F.lit(SALTS)).cast("int"))
+    return salted.join(ranks, ["event_count", "salt"]).select("itemid", "event_count", "item_rank")
 
 
 def longtail_share(log: DataFrame, fraction: float = 0.01) -> DataFrame:

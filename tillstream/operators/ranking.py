@@ -53,21 +53,14 @@ def map_at_k(predictions: DataFrame, k: int = 10, normalize: str = "ranked",
     """
     if normalize not in ("ranked", "relevant"):
         raise ValueError(f"normalize: {normalize}")
-    relevant = F.when(F.col("rating") >= relevant_from, 1).otherwise(0)
-    order = Window.partitionBy("user_id").orderBy(F.desc("prediction"), F.asc("item_id"))
-    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (
-        predictions.withColumn("is_relevant", relevant)
-        .withColumn("rank", F.row_number().over(order))
-        .withColumn("cum_relevant", F.sum("is_relevant").over(so_far))
-        .filter(F.col("rank") <= k)
-    )
-    precision = F.when(F.col("is_relevant") == 1, F.col("cum_relevant") / F.col("rank")).otherwise(0.0)
-    rows = F.count(F.lit(1)) if normalize == "ranked" else F.sum("is_relevant")
-    users = ranked.groupBy("user_id").agg(
-        safe_ratio(F.sum(precision), rows).alias("average_precision")
-    )
-    return users.agg(F.coalesce(F.avg("average_precision"), F.lit(0.0)).alias("map_at_k"))
+    place = F.row_number().over(Window.partitionBy("user_id").orderBy(F.desc("prediction"), F.asc("item_id")))
+    listed = predictions.select("user_id", "rating", place.alias("place")).filter(F.col("place") <= k)
+    hits = F.sort_array(F.collect_list(F.when(F.col("rating") >= relevant_from, F.col("place"))))  # at most k
+    users = listed.groupBy("user_id").agg(hits.alias("hits"), F.count(F.lit(1)).alias("rows"))
+    # The j-th hit, at place p, has precision j / p.
+    total = F.aggregate(F.transform("hits", lambda p, j: (j + 1) / p), F.lit(0.0), lambda acc, x: acc + x)
+    by = F.col("rows") if normalize == "ranked" else F.size("hits")
+    return users.agg(F.coalesce(F.avg(safe_ratio(total, by)), F.lit(0.0)).alias("map_at_k"))
 
 
 def regression_metrics(predictions: DataFrame, label: str = "rating",

@@ -598,6 +598,19 @@ def model_recs(spark: SparkSession, sf: str) -> DataFrame:
     return serving.stored_lists(_bucketed(lists.select(ids[0], "position", ids[1], "score"), "lists"), _bucketed(met.select(*ids), "met"), 10)
 
 
+@query("recommend_one_user", """
+    SELECT (SELECT min(user_id) FROM interactions) AS user_id, CAST(position AS INTEGER) AS position, TRUE AS usable
+    FROM (SELECT unnest(range(least(10, (SELECT count(DISTINCT item_id) FROM interactions)))) AS position)""")
+def recommend_one_user(spark: SparkSession, sf: str) -> DataFrame:
+    """The list of a single user, from a model of all."""
+    rows = interactions(spark, sf)
+    user = rows.agg(F.min("user_id")).first()[0]
+    found = recommender.recommend_for_user(recommender.fit_als(rows), user)
+    items = rows.select("item_id").distinct().withColumn("known", F.lit(True))
+    usable = F.coalesce("known", F.lit(False)) & ~F.isnan("score")
+    return found.join(items, "item_id", "left").select(F.col("user_id").cast("bigint").alias("user_id"), "position", usable.alias("usable"))
+
+
 _USERS_FROM, _ITEMS_FROM = 5_000_000_000, 6_000_000_000
 
 
