@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 from .common import components, long_rows, map_texts, written
 
 FREQUENT, _SHARE = 3, 8    # sampled texts that hold a listed shingle; one text in so many is sampled
-LISTED = 1_000_000         # shingles whose frequency is known in every task: 16 MB
+LISTED = 250_000           # shingles whose frequency is known in every task: 4 MB
 TILE = 16_384          # rows of a bucket that one task compares with each other
 _AT_ONCE = 1 << 17     # rows compared together
 _STEP = 8              # planes between two looks at which words are finished
@@ -309,7 +309,7 @@ def verified(pairs: DataFrame, docs: DataFrame, shingle: int, similarity: float,
     def pack(batches):
         squeeze = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
-            raw = [squeeze((t or "").encode("utf-8")) for t in batch.column("text").to_pylist()]
+            raw = [squeeze((t.as_py() or "").encode("utf-8")) for t in batch.column("text")]  # one text at a time
             yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(raw, pa.binary())], names=["doc", "raw"])
 
     pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct(), "near-pairs")
@@ -324,7 +324,8 @@ def verified(pairs: DataFrame, docs: DataFrame, shingle: int, similarity: float,
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             keep, last, own = [], None, set()
-            for raw_a, raw_b in zip(batch.column("raw_a").to_pylist(), batch.column("raw_b").to_pylist()):
+            for raw_a, raw_b in zip(batch.column("raw_a"), batch.column("raw_b")):
+                raw_a, raw_b = raw_a.as_py(), raw_b.as_py()
                 if raw_b != last:
                     last, own = raw_b, shingle_set(unpack(raw_b), shingle)
                 other = shingle_set(unpack(raw_a), shingle)
@@ -369,8 +370,9 @@ def _over_texts(docs: DataFrame, columns, schema: str, id_col: str, text_col: st
 
     def run(batches):
         for batch in batches:
-            parts = [columns(i, t) for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
-            if parts:
+            for at in range(0, batch.num_rows, 256):
+                some = batch.slice(at, 256)
+                parts = [columns(i.as_py(), t.as_py()) for i, t in zip(some.column(0), some.column(1))]
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)], names=names)
 
     return typed.filter("id IS NOT NULL").mapInArrow(run, schema)
