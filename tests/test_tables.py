@@ -44,6 +44,10 @@ def test_old_versions_go_but_the_newest_stay(spark, tmp_path):
         tb.overwrite_table(spark.range(n), path)
     assert len(tb.drop_old_versions(spark, path, keep=2)) == 2
     assert tb.read_table(spark, path).count() == 4
+    for number in (2, 5):  # of a writer that died long ago, and of one that may still be at work
+        (tmp_path / "t" / f"version-{number:09d}").mkdir()
+    assert [p.rsplit("-", 1)[1] for p in tb.drop_old_versions(spark, path, keep=2)] == ["000000002"]
+    assert (tmp_path / "t" / "version-000000005").exists() and tb.read_table(spark, path).count() == 4
 
 
 def test_missing_table_is_an_error_unless_optional(spark, tmp_path):

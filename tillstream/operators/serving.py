@@ -37,17 +37,12 @@ def rule_price(requests: DataFrame) -> DataFrame:
     base = F.lit(BASE_PRICE) + F.pmod(F.col("item_id"), F.lit(ITEM_CYCLE)) * ITEM_STEP
     base = F.when(rival > 0, F.least(base, rival * RIVAL_FACTOR)).otherwise(base)
 
-    def surcharge(name: str, busy: Column) -> Column:
-        return F.when(busy, SURCHARGES[name][1]).otherwise(0.0)
-
-    def limit(name: str) -> int:
-        return SURCHARGES[name][0]
-
+    views, carts, stock = (SURCHARGES[c] for c in ("view_count_1h", "cart_count_1h", "current_stock"))  # (limit, surcharge)
     factor = (
         F.lit(1.0)
-        + surcharge("view_count_1h", F.col("view_count_1h") > limit("view_count_1h"))
-        + surcharge("cart_count_1h", F.col("cart_count_1h") > limit("cart_count_1h"))
-        + surcharge("current_stock", F.col("current_stock") < limit("current_stock"))
+        + F.when(F.col("view_count_1h") > views[0], views[1]).otherwise(0.0)
+        + F.when(F.col("cart_count_1h") > carts[0], carts[1]).otherwise(0.0)
+        + F.when(F.col("current_stock") < stock[0], stock[1]).otherwise(0.0)
     )
     return price_request_defaults(requests).select(
         "item_id",

@@ -134,10 +134,12 @@ def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int)
 
 
 def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
-    """Delete all but the newest ``keep`` finished versions; returns what went."""
-    finished = [n for n in _versions(spark, path)
-                if path_exists(spark, f"{_version_path(path, n)}/{_MARK}")]
-    gone = [_version_path(path, n) for n in finished[: max(len(finished) - keep, 0)]]
+    """Delete all but the newest ``keep`` finished versions, and what dead writers
+    left before the newest of them; returns what went."""
+    numbers = _versions(spark, path)
+    finished = [n for n in numbers if path_exists(spark, f"{_version_path(path, n)}/{_MARK}")]
+    kept = set(finished[max(len(finished) - keep, 0):])
+    gone = [_version_path(path, n) for n in numbers if kept and n < max(kept) and n not in kept]
     for old in gone:
         _remove(spark, old)
     return gone
