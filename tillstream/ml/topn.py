@@ -109,12 +109,11 @@ def _round(chunk, n: int, width: int):
 
 
 def _by_norm(items: DataFrame, rows: int) -> DataFrame:
-    """Item vectors by falling norm, ``rows`` of them to a chunk. Places come
+    """Items with their ``norm``, by falling norm, ``rows`` of them to a chunk. Places come
     from a range partitioning and counts per task."""
     spark = items.sparkSession
-    norm = F.sqrt(F.aggregate("features", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
     first, path = scratch(spark, "item-norms"), scratch(spark, "item-chunks")
-    items.select("id", "features", norm.alias("norm")).write.parquet(first)
+    items.write.parquet(first)
     order = [F.desc("norm"), F.col("id")]
     placed = spark.read.parquet(first).repartitionByRange(*order).sortWithinPartitions(*order)
     placed.withColumn("at", F.monotonically_increasing_id()).withColumn("task", F.shiftright("at", 33)).write.parquet(path)
@@ -123,7 +122,7 @@ def _by_norm(items: DataFrame, rows: int) -> DataFrame:
     up = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # a row per task
     runs = runs.select("task", "first", (F.sum("n").over(up) - F.col("n")).alias("before"))
     rank = F.col("before") + F.col("at") - F.col("first")
-    return placed.join(runs, "task").select("id", "features", "norm", rank.alias("rank"), F.call_function("div", rank, F.lit(rows)).alias("chunk"))
+    return placed.join(runs, "task").select("id", "features", "norm", F.call_function("div", rank, F.lit(rows)).alias("chunk"))
 
 
 def best_items(users: DataFrame, items: DataFrame, n: int = 10, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -140,21 +139,25 @@ def best_items(users: DataFrame, items: DataFrame, n: int = 10, chunk_bytes: int
     head = items.select(F.size("features")).first()
     width = head[0] if head else 1
     rows = max(chunk_bytes // (width * 4 + 16), BLOCK)
-    path = scratch(spark, "item-blocks")
-    _by_norm(items, rows).repartition("chunk").write.partitionBy("chunk").parquet(path)
-    stored = spark.read.parquet(path) if head else None
-    chunks = sorted(r[0] for r in stored.select("chunk").distinct().collect()) if head else []
+    norm = F.sqrt(F.aggregate("features", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))).alias("norm")
+    few = items.select("id", "features", norm).limit(rows + 1).toArrow()
+    if few.num_rows <= rows:  # one chunk holds them all
+        chunks = [few] if few.num_rows else []
+    else:
+        path = scratch(spark, "item-blocks")
+        _by_norm(items.select("id", "features", norm), rows).repartition("chunk").write.partitionBy("chunk").parquet(path)
+        stored = spark.read.parquet(path)
+        numbers = sorted(r[0] for r in stored.select("chunk").distinct().collect())
+        chunks = (stored.filter(F.col("chunk") == n).select("id", "features", "norm").toArrow() for n in numbers)  # at most chunk_bytes each
     state = users.select(
         F.col("id").cast("int").alias("user_id"), F.col("features").cast("array<float>").alias("features"),
         F.array().cast("array<int>").alias("items"), F.array().cast("array<float>").alias("scores"),
         F.lit(0).cast("bigint").alias("blocks_read"), F.lit(True).alias("open"))
     done = [state.filter("false")]
-    for number in chunks:
-        held = stored.filter(F.col("chunk") == number).orderBy("rank").select("id", "features", "norm").toArrow()  # at most chunk_bytes
-        held = held.combine_chunks()
-        norms = held["norm"].to_numpy()
+    for held in chunks:
+        held = held.sort_by([("norm", "descending"), ("id", "ascending")]).combine_chunks()
         vectors = _matrix(held["features"].combine_chunks(), width)
-        chunk = spark.sparkContext.broadcast(Chunk(held["id"].to_numpy().astype("i4"), vectors, norms))
+        chunk = spark.sparkContext.broadcast(Chunk(held["id"].to_numpy().astype("i4"), vectors, held["norm"].to_numpy()))
         path = scratch(spark, "lists")
         state.mapInArrow(_round(chunk, n, width), _STATE).write.partitionBy("open").parquet(path)
         chunk.unpersist()
