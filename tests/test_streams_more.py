@@ -114,6 +114,19 @@ def test_merged_sketches_stay_within_their_error(spark):
         assert abs(r.unique_users_1h - exact[r.window_start]) <= 5 * 0.0163 * exact[r.window_start]
 
 
+def test_batch_windows_have_exact_users(spark):
+    users = spark.range(20_000).selectExpr("'view' AS event_type", "id % 9000 AS user_id", "1L AS item_id", "timestamp'2024-05-01 12:00:00' AS event_ts")
+    assert {r.unique_users_1h for r in rolling_item_ctr(users, exact=False).collect()} == {9000}
+
+
+def test_stored_panes_have_exact_users(spark, tmp_path):
+    folder, path = str(tmp_path / "in"), str(tmp_path / "out")
+    drop_file(spark, folder, [record("view", u % 3000, 1, at(u % 25)) for u in range(7000)] + [record("view", None, 1, at(3))])
+    rs.start_panes(rs.click_records(file_topic(spark, folder)), path, str(tmp_path / "ckpt"), every=None).awaitTermination()
+    whole = [r for r in rs.read_windows(spark, path).collect() if r.total_events_1h == 7001]
+    assert whole and {r.unique_users_1h for r in whole} == {3000}
+
+
 @pytest.mark.parametrize("parts", [1, 4])
 def test_pane_stream_equals_batch(spark, tmp_path, parts):
     folder, path = str(tmp_path / "in"), str(tmp_path / "out")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.rolling import pane_cells, rolling_item_ctr, windows_of_panes
+from ..operators.rolling import rolling_item_ctr, user_panes, windows_of_user_panes
 from ..operators.silver import parse_payload
 from ..schemas import CLICKSTREAM
 from ..sources.tables import merge_upsert, read_table
@@ -73,17 +73,17 @@ def start_rolling(clicks: DataFrame, path: str, checkpoint: str, mode: str = "up
 
 def start_panes(clicks: DataFrame, path: str, checkpoint: str, every: int | None = 600,
                 ts_col: str = "kafka_ts", late: str = "10 minutes", span: str = "hour") -> StreamingQuery:
-    """Keeps a table of panes up to date: counts and user sketches per item and
-    ten minutes. An event is one state row and one stored cell, not six; the
-    windows are made where they are read (``read_windows``). A pane takes rows
-    until the watermark passes its end."""
+    """Keeps a table of panes up to date: counts per item, user and ten minutes.
+    An event is at most one state row and one stored cell, not six; the windows
+    are made where they are read (``read_windows``), with exact users. A pane takes
+    rows until the watermark passes its end."""
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumn("updated_at", F.current_timestamp()).withColumn("pane_hour", hour_of("pane_start", span))
-        merge_upsert(rows, path, ("item_id", "pane_start"), "pane_hour")
+        merge_upsert(rows, path, ("item_id", "user_id", "pane_start"), "pane_hour")
 
     return (
-        pane_cells(clicks.withWatermark(ts_col, late), ts_col)
+        user_panes(clicks.withWatermark(ts_col, late), ts_col)
         .writeStream.foreachBatch(merge)
         .outputMode("update")
         .option("checkpointLocation", checkpoint)
@@ -96,4 +96,4 @@ def read_windows(spark: SparkSession, path: str, since: str | None = None) -> Da
     """The rolling table of stored panes; ``since`` (an hour as in ``hour_of``)
     reads no older panes, whose windows are then incomplete."""
     panes = read_table(spark, path)
-    return windows_of_panes(panes.filter(F.col("pane_hour") >= since) if since else panes)
+    return windows_of_user_panes(panes.filter(F.col("pane_hour") >= since) if since else panes)
