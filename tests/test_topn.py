@@ -1,7 +1,9 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tillstream.ml import recommender, topn
+from tillstream.plans import queries_reports
 
 FACTORS = "id int, features array<float>"
 
@@ -50,6 +52,24 @@ def test_norms_spare_most_blocks(spark):
     assert len(read) == 200 and max(read) < 0.1 * 20_000 / topn.BLOCK
 
 
+def test_items_are_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def vector(i):
+        made.add(1)
+        return [float(i), 1.0]
+
+    items = spark.range(600).select(F.col("id").cast("int").alias("id"), F.udf(vector, "array<float>")("id").alias("features"))
+    users = spark.createDataFrame([(1, [1.0, 0.0])], FACTORS)
+    assert found(topn.best_items(users, items, 2, 1)) == {1: [(599, 599.0), (598, 598.0)]}
+    assert made.value == 600
+
+
+def test_lines_are_joined_once(spark, sf):
+    lines = queries_reports._count_lists(spark, sf)[1]
+    assert "Join" not in lines._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_edges(spark):
     users, items = spark.createDataFrame([(1, [1.0, 2.0]), (2, [-1.0, 0.0])], FACTORS), spark.createDataFrame([(5, [1.0, 1.0]), (4, [1.0, 1.0])], FACTORS)
     assert found(topn.best_items(users, items, 10)) == {1: [(4, 3.0), (5, 3.0)], 2: [(4, -1.0), (5, -1.0)]}
