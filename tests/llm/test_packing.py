@@ -91,6 +91,18 @@ def test_memo_gives_the_tokenizers_ids(name, kind):
         assert np.frombuffer(memo.encode([text])[0], "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
 
 
+@pytest.mark.parametrize("name, kind", [("byte_bpe_50k.json", "byte"), ("word_bpe_49k.json", "word")])
+def test_a_repeated_chunk_is_looked_up_once(name, kind, monkeypatch):
+    """The texts of a group share their look-ups."""
+    from tillstream.llm import tokens
+
+    looked, get = [], tokens.Recent.get
+    monkeypatch.setattr(tokens.Recent, "get", lambda self, chunks: looked.extend(chunks) or get(self, chunks))
+    memo = Memo(path(name), kind)
+    memo.encode(["River stone, river!!\nStone river%%%"] * 500)
+    assert len(looked) < 100
+
+
 def test_query_against_brute_force(spark, tmp_path):
     """The registered query over a small table: ids of the tokenizer itself, and no
     more sequences than best-fit decreasing needs, one piece at a time."""
