@@ -163,11 +163,10 @@ def _counts(tokens: DataFrame, width: str) -> dict[int, int]:
     def rows(batches):
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for ids in batch.column("ids").to_pylist():
-                seen = np.bincount(np.frombuffer(ids, width))
-                if len(seen) > len(total):
-                    total = np.concatenate([total, np.zeros(len(seen) - len(total), np.int64)])
-                total[: len(seen)] += seen
+            seen = np.bincount(np.frombuffer(b"".join(batch.column("ids").to_pylist()), width))
+            if len(seen) > len(total):
+                total = np.concatenate([total, np.zeros(len(seen) - len(total), np.int64)])
+            total[: len(seen)] += seen
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["id", "n"])
 
