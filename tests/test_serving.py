@@ -106,3 +106,11 @@ def test_stored_lists_need_no_shuffle(spark, tmp_path):
             assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
     spark.sql("DROP TABLE lists_test")
     spark.sql("DROP TABLE met_test")
+
+
+def test_buckets_grow_with_the_rows():
+    """One task sorts a bucket, so its rows must not follow the table's."""
+    from tillstream.plans.queries_reports import _buckets
+
+    assert _buckets(0) == _buckets(600_000) == 8
+    assert all(rows / _buckets(rows) <= 500_000 for rows in (14_400_000, 216_000_000))
